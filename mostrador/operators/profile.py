@@ -16,7 +16,7 @@ from ..functions.dates import Day, within
 from .resolve import CodeSystem
 
 
-def _union(frames: Sequence[DataFrame]) -> DataFrame:
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
@@ -29,14 +29,14 @@ def _count_if(condition: Column, name: str) -> Column:
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows per named table."""
-    return _union(
+    return union_all(
         [df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("source", F.lit(name)) for name, df in tables.items()]
     ).select("source", "n_rows")
 
 
 def date_ranges(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """First and last calendar day per named (table, date column)."""
-    return _union(
+    return union_all(
         [
             df.agg(F.min(F.to_date(day)).alias("first_day"), F.max(F.to_date(day)).alias("last_day"))
             .withColumn("source", F.lit(name))
