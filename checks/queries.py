@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mostrador.functions import code_number, money
+from mostrador.functions import code_number, money_total
 from mostrador.operators import (
     asof_join, calendar, consecutive_days, convert_currency, dense, matched_rows, matched_turnover,
     period_change, stock_by_pair, top_k,
@@ -70,12 +70,11 @@ def turnover_by_type(t):
 
 @query
 def matched_population(t):
-    kept = matched_rows(
-        roles.sales(t).where("channel = 'physical'"), roles.readings(t), ["store_id", "product_id"]
-    )
-    return kept.groupBy("store_id", "product_id").agg(
+    pair = ["store_id", "product_id"]
+    sold = roles.sales(t).where("channel = 'physical'").groupBy(*pair).agg(
         F.count(F.lit(1)).alias("n_sales"), F.sum("quantity").alias("units")
     )
+    return matched_rows(sold, roles.readings(t), pair)
 
 
 @query
@@ -92,7 +91,7 @@ def reading_coverage(t):
 
 @query
 def top_customers(t):
-    spent = t.orders.groupBy("o_custkey").agg(F.sum(money("o_totalprice")).cast("double").alias("spent"))
+    spent = t.orders.groupBy("o_custkey").agg(money_total("o_totalprice").cast("double").alias("spent"))
     return top_k(spent, "spent", ["o_custkey"], 10)
 
 
@@ -150,7 +149,7 @@ def month_grid(t):
 def customer_change(t):
     """Month-over-month change per region on its dense series."""
     sales = roles.fx_sales(t).groupBy("currency", F.trunc("sold_at", "MM").alias("month")).agg(
-        F.sum(money("amount_native")).cast("double").alias("amount")
+        money_total("amount_native").cast("double").alias("amount")
     )
     grid = calendar(sales.select("currency").distinct(), "month", "1995-01-01", "2001-12-01")
     return period_change(dense(sales, grid, ["currency", "month"]), ["currency"], "month", "amount", "change_pct")
@@ -175,26 +174,26 @@ def duplicate_rate_gate(t):
 # --- effective-dated costs -------------------------------------------------------------------
 
 
-def _asof(t: Tables, by_month: bool) -> DataFrame:
+def _asof(t: Tables, horizon: tuple[str, str] | None) -> DataFrame:
     sales = roles.ordered_sales(t).withColumn("sale_date", F.to_date("sold_at"))
     costed = asof_join(
-        sales, roles.costs(t), ["product_id"], "sale_date", "effective_date", ["cost_mxn"], (FIRST, LAST), by_month
+        sales, roles.costs(t), ["product_id"], "sale_date", "effective_date", ["cost_mxn"], horizon
     )
     return costed.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("n_sales"),
         F.count("cost_mxn").alias("n_costed"),
-        F.sum(money("cost_mxn")).cast("double").alias("cost_sum"),
+        money_total("cost_mxn").cast("double").alias("cost_sum"),
     )
 
 
 @query
 def asof_cost(t):
-    return _asof(t, by_month=False)
+    return _asof(t, (FIRST, LAST))
 
 
 @query
-def asof_cost_by_month(t):
-    return _asof(t, by_month=True)
+def asof_cost_open_horizon(t):
+    return _asof(t, None)
 
 
 @query
@@ -206,7 +205,8 @@ def negative_margin_pairs(t):
 def missing_cost_gate(t):
     sales = roles.ordered_sales(t).withColumn("sale_date", F.to_date("sold_at"))
     costed = asof_join(
-        sales, roles.costs(t, with_list_price=False), ["product_id"], "sale_date", "effective_date", ["cost_mxn"]
+        sales, roles.costs(t, with_list_price=False), ["product_id"], "sale_date", "effective_date", ["cost_mxn"],
+        (FIRST, LAST),
     )
     return gates.uncosted(costed, "cost_mxn", "product_id")
 
@@ -267,7 +267,7 @@ def reconcile_facts(t):
     bridge = _bridge(t)
     orders = resolve.attach_ids(roles.code_orders(t), bridge, "sku", "sku_pos", "order")
     return orders.groupBy("sku_erp").agg(
-        F.count(F.lit(1)).alias("n_orders"), F.sum(money("o_totalprice")).cast("double").alias("amount")
+        F.count(F.lit(1)).alias("n_orders"), money_total("o_totalprice").cast("double").alias("amount")
     )
 
 
@@ -340,7 +340,7 @@ def unified_sales(t):
             F.count(F.lit(1)).alias("n_rows"),
             F.count("store_id").alias("n_with_store"),
             F.sum("quantity").alias("units"),
-            F.sum(money("amount_native")).cast("double").alias("amount"),
+            money_total("amount_native").cast("double").alias("amount"),
             F.min(F.to_date("sold_at")).alias("first_day"),
             F.max(F.to_date("sold_at")).alias("last_day"),
         )
@@ -529,7 +529,14 @@ def code_candidates(t):
     """Customers' codes against suppliers numbered by nation: none or several candidates each."""
     codes = roles.code_orders(t).select("sku").distinct()
     catalog = t.supplier.select("s_name", F.col("s_nationkey").cast("bigint").alias("number"))
-    return profile.candidates(codes, "sku", ORDER_CODE, catalog, "number", ["s_name"])
+    return profile.candidate_counts(codes, "sku", ORDER_CODE, catalog, "number")
+
+
+@query
+def candidate_rows(t):
+    codes = roles.code_orders(t).select("sku").distinct()
+    catalog = t.supplier.select("s_name", F.col("s_nationkey").cast("bigint").alias("number"))
+    return profile.candidate_rows(codes, "sku", ORDER_CODE, catalog, "number")
 
 
 @query

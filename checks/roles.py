@@ -27,11 +27,13 @@ class Tables:
         self._spark, self._folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        table = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
 
 def cents(amount: str) -> Column:
-    return (F.col(amount).cast("decimal(18,2)") * 100).cast("bigint")
+    return F.rint(F.col(amount) * 100).cast("bigint")
 
 
 def coded(prefix: str, key: str) -> Column:
@@ -105,7 +107,7 @@ def panel_model(t: Tables) -> dict[str, DataFrame]:
 
 def unit_prices(t: Tables) -> DataFrame:
     """Lowest unit price in cents per part and day of its returned lines, with a supplier."""
-    price = F.expr("(cast(cast(l_extendedprice as decimal(18,2)) * 100 as bigint)) div cast(l_quantity as bigint)")
+    price = F.expr("cast(rint(l_extendedprice * 100) as bigint) div cast(l_quantity as bigint)")
     return (
         t.lineitem.where("l_returnflag = 'R'")
         .groupBy(F.col("l_partkey").alias("product_id"), F.to_date("l_shipdate").alias("effective_date"))

@@ -1,12 +1,12 @@
 from .codes import HANDLE_CODE, ERP_CODE, POS_CODE, code_number
 from .dates import as_date, month_of, within
 from .values import (
-    MONEY, MONEY_TOTAL, RATE, guarded_ratio, lenient_integer, money, percent, strict_cast,
-    strict_integer, strict_number, text_is_missing,
+    MONEY_TOTAL, RATE, guarded_ratio, lenient_integer, micros, micros_total, money_total, percent,
+    strict_cast, strict_integer, strict_number, text_is_missing,
 )
 
 __all__ = [
-    "HANDLE_CODE", "ERP_CODE", "POS_CODE", "code_number", "as_date", "month_of", "within", "MONEY",
-    "MONEY_TOTAL", "RATE", "guarded_ratio", "lenient_integer", "money", "percent", "strict_cast",
-    "strict_integer", "strict_number", "text_is_missing",
+    "HANDLE_CODE", "ERP_CODE", "POS_CODE", "code_number", "as_date", "month_of", "within",
+    "MONEY_TOTAL", "RATE", "guarded_ratio", "lenient_integer", "micros", "micros_total", "money_total",
+    "percent", "strict_cast", "strict_integer", "strict_number", "text_is_missing",
 ]

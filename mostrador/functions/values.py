@@ -6,11 +6,11 @@ from pyspark.sql import Column, functions as F
 
 from ..schemas import MISSING_TOKENS
 
-# Money is summed as a decimal, so a total does not depend on the order in which shuffle blocks
-# arrive. The widths are chosen so that MONEY_TOTAL * RATE fits 38 digits without rounding.
-MONEY = "decimal(20,6)"
+# Money is totalled exactly, so a total does not depend on the order in which shuffle blocks arrive.
+# The widths are chosen so that MONEY_TOTAL * RATE fits 38 digits without rounding.
 MONEY_TOTAL = "decimal(22,6)"
 RATE = "decimal(15,8)"
+LOW_BITS = 20
 
 
 def _fail(what: str, value: Column, kind: str) -> Column:
@@ -22,48 +22,76 @@ def text_is_missing(value: Column) -> Column:
     return F.when(~value.isin(*MISSING_TOKENS), value)
 
 
+# The parsers below put the parsed value first in COALESCE, so that a good value is parsed once and the
+# checks run for NULL and bad values only.
+
+
 def strict_cast(value: Column, kind: str, what: str) -> Column:
     """Cast that passes NULL and fails the job on anything unreadable, whatever the ANSI setting."""
-    parsed = value.try_cast(kind)
-    return F.when(value.isNull() | parsed.isNotNull(), parsed).otherwise(_fail(what, value, kind))
+    return F.coalesce(value.try_cast(kind), F.when(value.isNotNull(), _fail(what, value, kind)))
 
 
 def _number(value: Column, is_text: bool) -> Column:
     """Double, NULL when unreadable or NaN; a letter suffix such as in ``5d`` is not a number."""
     parsed = value.try_cast("double")
     if is_text:
-        parsed = F.when(~value.rlike(r"[0-9.]\s*[dDfF]\s*\z"), parsed)
-    return F.when(~F.isnan(parsed), parsed)
+        end = F.lower(F.rtrim(value))
+        suffixed = F.endswith(end, F.lit("d")) | (F.endswith(end, F.lit("f")) & ~F.endswith(end, F.lit("inf")))
+        parsed = F.when(~suffixed, parsed)
+    return F.nullif(parsed, F.lit(float("nan")))
+
+
+def _is_missing(value: Column, is_text: bool) -> Column:
+    if is_text:
+        return value.isNull() | (F.lower(F.trim(value)) == "nan")
+    return value.isNull() | F.isnan(value.cast("double"))
 
 
 def strict_number(value: Column, what: str, is_text: bool = True) -> Column:
     """Double; NULL and NaN pass as NULL, other text fails the job."""
-    parsed = _number(value, is_text)
-    if not is_text:
-        return parsed
-    missing = value.isNull() | (F.lower(F.trim(value)) == "nan")
-    return F.when(missing | parsed.isNotNull(), parsed).otherwise(_fail(what, value, "a number"))
+    wrong = ~_is_missing(value, is_text)
+    return F.coalesce(_number(value, is_text), F.when(wrong, _fail(what, value, "a number")))
 
 
-def _whole(number: Column, value: Column, what: str) -> Column:
-    fits = (number == F.floor(number)) & (F.abs(number) < F.lit(float(2**63)))
-    return F.when(number.isNull() | fits, number.try_cast("bigint")).otherwise(
-        _fail(what, value, "a whole number")
-    )
+def _whole(value: Column, is_text: bool) -> Column:
+    """BIGINT where the value is a whole number in range, else NULL."""
+    number = _number(value, is_text)
+    return F.when(number == F.floor(number), number.try_cast("bigint"))
 
 
 def strict_integer(value: Column, what: str, is_text: bool = True) -> Column:
     """BIGINT; NULL passes, unreadable text and fractions fail the job."""
-    return _whole(strict_number(value, what, is_text), value, what)
+    wrong = ~_is_missing(value, is_text)
+    return F.coalesce(_whole(value, is_text), F.when(wrong, _fail(what, value, "a whole number")))
 
 
 def lenient_integer(value: Column, what: str, is_text: bool = True) -> Column:
     """BIGINT; anything that is not a number is unknown (NULL), a fraction fails the job."""
-    return _whole(_number(value, is_text), value, what)
+    wrong = _number(value, is_text).isNotNull()
+    return F.coalesce(_whole(value, is_text), F.when(wrong, _fail(what, value, "a whole number")))
+
+
+def micros(amount: Column | str) -> Column:
+    """An amount in whole millionths, as BIGINT."""
+    value = F.col(amount) if isinstance(amount, str) else amount
+    return F.rint(value * F.lit(1e6)).cast("bigint")
+
+
+def micros_total(units: Column) -> Column:
+    """Exact total of :func:`micros`, as a decimal amount.
+
+    Two BIGINT sums, of the high and of the low bits, instead of a decimal sum: neither overflows
+    before 2^43 rows, and both run in generated code, several times faster than decimals.
+    """
+    high = F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(20,0)")
+    low = F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1))).cast("decimal(20,0)")
+    whole = high * F.lit(1 << LOW_BITS).cast("decimal(7,0)") + low
+    return (whole.cast("decimal(28,0)") * F.lit("0.000001").cast("decimal(6,6)")).cast(MONEY_TOTAL)
 
 
-def money(value: Column | str) -> Column:
-    return (F.col(value) if isinstance(value, str) else value).cast(MONEY)
+def money_total(amount: Column | str) -> Column:
+    """Exact total of an amount column with up to six decimals."""
+    return micros_total(micros(amount))
 
 
 def guarded_ratio(part: Column, whole: Column) -> Column:

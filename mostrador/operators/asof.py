@@ -4,22 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import Day, as_date
 
-FROM, UNTIL, BUCKET = "_from", "_until", "_bucket"
+FROM, UNTIL, SLICE = "_from", "_until", "_slice"
+Bound = Day | Column
 
 
-def _month_index(day):
-    return F.year(day) * 12 + F.month(day)
+def _bound(value: Bound) -> Column:
+    return value if isinstance(value, Column) else F.lit(as_date(value))
 
 
 def validity(
     history: DataFrame,
     keys: Sequence[str],
     effective: str,
-    horizon: tuple[Day, Day] | None = None,
+    horizon: tuple[Bound, Bound] | None = None,
 ) -> DataFrame:
     """History as half-open intervals ``[_from, _until)``; an open end is NULL.
 
@@ -31,7 +32,7 @@ def validity(
     dated = history.where(F.col(effective).isNotNull())
     spans = dated.withColumn(FROM, F.col(effective)).withColumn(UNTIL, F.lead(effective).over(order))
     if horizon:
-        first, last = (F.lit(as_date(d)) for d in horizon)
+        first, last = map(_bound, horizon)
         spans = spans.where((F.col(FROM) <= last) & (F.col(UNTIL).isNull() | (F.col(UNTIL) > first)))
     return spans
 
@@ -43,34 +44,40 @@ def asof_join(
     day: str,
     effective: str,
     values: Sequence[str],
-    horizon: tuple[Day, Day] | None = None,
-    by_month: bool = False,
+    horizon: tuple[Bound, Bound] | None = None,
+    slices: int = 16,
 ) -> DataFrame:
     """Left join each fact to the latest history entry with ``effective <= day``.
 
     The intervals of one key do not overlap, so a fact meets at most one of them and no ranking per
-    fact is needed. It is an equi-join on ``keys`` with a range condition; the optimiser broadcasts
-    the history when its size allows and otherwise shuffles both sides on the keys.
-
-    ``by_month`` is for deep histories and for keys that hold much of the facts: both sides also
-    join on the calendar month, so a key spreads over its months and a fact is compared with the
-    entries of one month only. It needs ``horizon``, which all facts must lie in.
+    fact is needed. ``horizon`` is the first and last day of the facts (one more pass over their day
+    column finds it when it is not given). It is cut into time slices, and both sides join on
+    (keys, slice) with a range condition. That spreads a key that holds much of the facts over the
+    slices, compares a fact with the entries of one slice only, and keeps the output from being
+    partitioned by the keys alone, so that an adaptive skew split stays possible before a later
+    grouping. The history grows by at most ``slices`` rows per key; the optimiser broadcasts it
+    when its size allows.
     """
-    spans = validity(history, keys, effective, horizon)
-    on = list(keys)
-    if by_month:
-        if not horizon:
-            raise ValueError("by_month needs a horizon")
-        first, last = (F.lit(as_date(d)) for d in horizon)
-        # LEAST skips NULL: an open interval ends with the horizon.
-        upto = F.least(F.date_sub(F.col(UNTIL), 1), last)
-        months = F.sequence(_month_index(F.greatest(F.col(FROM), first)), _month_index(upto))
-        spans = spans.withColumn(BUCKET, F.explode(months))
-        facts = facts.withColumn(BUCKET, _month_index(F.col(day)))
-        on.append(BUCKET)
-    left, right = facts.alias("f"), spans.select(*on, FROM, UNTIL, *values).alias("h")
+    if horizon is None:
+        ends = facts.agg(F.min(day).alias("first"), F.max(day).alias("last"))
+        horizon = (ends.select("first").scalar(), ends.select("last").scalar())
+    first, last = map(_bound, horizon)
+    width = F.ceil((F.date_diff(last, first) + 1) / F.lit(slices))
+
+    def slice_of(when: Column) -> Column:
+        return F.floor(F.date_diff(when, first) / width).cast("int")
+
+    # LEAST skips NULL: an open interval ends with the horizon.
+    ends_on = F.least(F.date_sub(F.col(UNTIL), 1), last)
+    starts_on = F.greatest(F.col(FROM), first)
+    spans = validity(history, keys, effective, horizon).withColumn(
+        SLICE, F.explode(F.sequence(slice_of(starts_on), slice_of(ends_on)))
+    )
+    on = [*keys, SLICE]
+    left = facts.withColumn(SLICE, slice_of(F.col(day))).alias("f")
+    right = spans.select(*on, FROM, UNTIL, *values).alias("h")
     matches = [F.col(f"f.{k}") == F.col(f"h.{k}") for k in on]
     matches.append(F.col(f"f.{day}") >= F.col(f"h.{FROM}"))
     matches.append(F.col(f"h.{UNTIL}").isNull() | (F.col(f"f.{day}") < F.col(f"h.{UNTIL}")))
-    kept = [F.col(f"f.{c}") for c in facts.columns if c != BUCKET]
+    kept = [F.col(f"f.{c}") for c in facts.columns]
     return left.join(right, matches, "left").select(*kept, *[F.col(f"h.{v}") for v in values])

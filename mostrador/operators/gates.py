@@ -97,7 +97,7 @@ def conflicting_targets(mapping: DataFrame, source: str, target: str) -> DataFra
 def unknown_keys(df: DataFrame, key: str, known: DataFrame, known_key: str | None = None) -> DataFrame:
     """Distinct non-NULL keys of ``df`` that ``known`` does not have."""
     wanted = df.where(F.col(key).isNotNull()).select(key).distinct()
-    have = known.select(F.col(known_key or key).alias(key))
+    have = known.select(F.col(known_key or key).alias(key)).distinct()
     return wanted.join(have, key, "left_anti")
 
 

@@ -193,24 +193,29 @@ def collisions(df: DataFrame, number: str, code: str) -> DataFrame:
     return pairs.join(crowded, number)
 
 
-def candidates(
-    unmapped: DataFrame, code: str, pattern: str, catalog: DataFrame, number: str, details: Sequence[str]
-) -> DataFrame:
-    """Catalog rows whose number equals that of an unmapped code; a code without any keeps one row.
+def candidate_counts(unmapped: DataFrame, code: str, pattern: str, catalog: DataFrame, number: str) -> DataFrame:
+    """How many catalog rows carry the number of each unmapped code; 0 also for a code without one.
 
-    ``n_candidates`` is the number of such rows.
+    The rows themselves are listed once per number by :func:`candidate_rows`: codes that share a
+    number share its candidates, so pairing every code with every row would only multiply them.
     """
-    coded = unmapped.select(F.col(code), code_number(code, pattern).alias("code_number"))
-    known = catalog.where(F.col(number).isNotNull())
-    counts = known.groupBy(F.col(number).alias("_count_number")).agg(F.count(F.lit(1)).alias("_n"))
-    rows = known.select(F.col(number).alias("_number"), *details)
-    return (
-        coded.join(counts, F.col("code_number") == F.col("_count_number"), "left")
-        .join(rows, F.col("code_number") == F.col("_number"), "left")
-        .select(code, "code_number", F.coalesce("_n", F.lit(0)).cast("bigint").alias("n_candidates"), *details)
+    coded = unmapped.select(code, code_number(code, pattern).alias("code_number"))
+    counts = (
+        catalog.where(F.col(number).isNotNull())
+        .groupBy(F.col(number).alias("_number"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    return coded.join(counts, F.col("code_number") == F.col("_number"), "left").select(
+        code, "code_number", F.coalesce("_n", F.lit(0)).cast("bigint").alias("n_candidates")
     )
 
 
+def candidate_rows(unmapped: DataFrame, code: str, pattern: str, catalog: DataFrame, number: str) -> DataFrame:
+    """Catalog rows whose number occurs in an unmapped code."""
+    wanted = unmapped.select(code_number(code, pattern).alias(number)).distinct()
+    return catalog.join(wanted, number, "left_semi")
+
+
 def coverage_in_window(
     facts: DataFrame,
     when: str,
@@ -280,23 +285,28 @@ def calendar_summary(df: DataFrame, day: str) -> DataFrame:
     )
 
 
+def _pair_days(df: DataFrame, pair: Sequence[str], day: str) -> DataFrame:
+    """Distinct (pair, day); rows without a complete pair do not count."""
+    return df.dropna(subset=list(pair)).select(*pair, F.to_date(day).alias("_day")).distinct()
+
+
 def days_per_pair(df: DataFrame, pair: Sequence[str], day: str) -> DataFrame:
-    """Distinct days per pair; rows without a complete pair do not count."""
-    cells = df.dropna(subset=list(pair)).groupBy(*pair, F.to_date(day).alias("_day")).agg(F.lit(1).alias("_one"))
-    return cells.groupBy(*pair).agg(F.count("_day").alias("n_days"))
+    """Distinct days per pair."""
+    return _pair_days(df, pair, day).groupBy(*pair).agg(F.count("_day").alias("n_days"))
 
 
 def pair_coverage(df: DataFrame, pair: Sequence[str], day: str) -> DataFrame:
     """Pairs, min / max / exact median of their days, and pairs with all or only some days."""
-    all_days = observed_days(df, day).agg(F.count("day")).scalar()
-    per_pair = days_per_pair(df, pair, day).withColumn("_all", all_days)
+    days = _pair_days(df, pair, day)
+    every = days.select("_day").distinct().agg(F.count("_day")).scalar()
+    per_pair = days.groupBy(*pair).agg(F.count("_day").alias("n_days")).withColumn("_every", every)
     return per_pair.agg(
         F.count(F.lit(1)).alias("n_pairs"),
         F.min("n_days").alias("min_days"),
         F.max("n_days").alias("max_days"),
         F.median("n_days").alias("median_days"),
-        _count_if(F.col("n_days") == F.col("_all"), "full_pairs"),
-        _count_if(F.col("n_days") != F.col("_all"), "partial_pairs"),
+        _count_if(F.col("n_days") == F.col("_every"), "full_pairs"),
+        _count_if(F.col("n_days") != F.col("_every"), "partial_pairs"),
     )
 
 

@@ -57,9 +57,12 @@ def resolve_codes(
         F.col(number).alias("_number"), F.col(target).alias("_fallback")
     )
     pairs = explicit.select(code, F.col(target).alias("_explicit"))
+    # Codes without a number get a negative one that matches nothing; as NULL they would all be
+    # shuffled to one task.
+    nowhere = -1 - F.pmod(F.xxhash64(code), F.lit(1 << 20))
     looked_up = (
         observed.join(pairs, code, "left")
-        .withColumn("_code_number", code_number(code, system.pattern))
+        .withColumn("_code_number", F.coalesce(code_number(code, system.pattern), nowhere))
         .join(by_number, F.col("_code_number") == F.col("_number"), "left")
     )
     method = F.when(F.col("_explicit").isNotNull(), F.lit(EXPLICIT)).otherwise(F.lit(INFERRED))

@@ -21,8 +21,12 @@ def stock_by_pair(readings: DataFrame, pair: Sequence[str], stock: str) -> DataF
 
 
 def matched_rows(facts: DataFrame, population: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Facts whose key occurs in the population."""
-    return facts.join(population.select(*keys), list(keys), "left_semi")
+    """Facts whose key occurs in the population.
+
+    The population is reduced to its keys first, so a key with many rows there is one row in the
+    join. Group the facts before the call where only their totals per key are wanted.
+    """
+    return facts.join(population.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def matched_turnover(

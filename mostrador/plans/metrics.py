@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import MONEY, money, month_of, percent, within
+from ..functions import micros, micros_total, money_total, month_of, percent, within
 from ..functions.dates import Day, as_date
 from ..operators.asof import asof_join
 from ..operators.currency import convert_currency
@@ -88,7 +88,7 @@ def stockout_runs(
 def sales_cells(sales: DataFrame) -> DataFrame:
     """Native totals per (channel, currency, day): at most one row per channel, currency and day."""
     return sales.groupBy("channel", "currency", F.to_date("sold_at").alias("sale_date")).agg(
-        F.sum(money("amount_native")).alias("amount_native")
+        money_total("amount_native").alias("amount_native")
     )
 
 
@@ -149,9 +149,7 @@ def channel_growth(
     return shown.orderBy("month", "channel") if ordered else shown
 
 
-def costed_pairs(
-    model: Model, start: Day, end: Day, by_month: bool = False
-) -> DataFrame:
+def costed_pairs(model: Model, start: Day, end: Day) -> DataFrame:
     """Revenue, cost and rows without a cost per (store, product)."""
     sales = _physical(model["fact_sales"], start, end).select(
         "store_id", "product_id", F.to_date("sold_at").alias("sale_date"), "quantity", "amount_native"
@@ -164,12 +162,10 @@ def costed_pairs(
         "effective_date",
         ["cost_mxn"],
         (start, end),
-        by_month,
     )
-    spent = (F.col("quantity") * F.col("cost_mxn").cast(MONEY)).cast("decimal(28,6)")
     return costed.groupBy("store_id", "product_id").agg(
-        F.sum(money("amount_native")).alias("revenue"),
-        F.sum(spent).alias("cost"),
+        money_total("amount_native").alias("revenue"),
+        micros_total(F.col("quantity") * micros("cost_mxn")).alias("cost"),
         F.count_if(F.col("cost_mxn").isNull()).alias("n_uncosted"),
     )
 
@@ -179,7 +175,6 @@ def negative_margin(
     start: Day = "2024-10-01",
     end: Day = "2026-03-31",
     check: bool = True,
-    by_month: bool = False,
     ordered: bool = True,
 ) -> DataFrame:
     """(Store, product) pairs whose physical sales cost more than they earned.
@@ -187,9 +182,9 @@ def negative_margin(
     A sale costs its quantity times the unit cost in force on its day. A sale without a cost is an
     error: with ``check`` the pair totals are stored once, the gate reads them and raises
     ``GateError``; without it the job that reads the result fails. Either way the facts are read
-    once. ``by_month`` is passed to the as-of join.
+    once.
     """
-    pairs = costed_pairs(model, start, end, by_month)
+    pairs = costed_pairs(model, start, end)
     if check:
         pairs = settle(pairs, "margin-pairs")
         broken = uncosted(pairs.withColumn("_cost", F.when(F.col("n_uncosted") == 0, F.lit(1))), "_cost", "product_id")

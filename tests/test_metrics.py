@@ -314,7 +314,6 @@ def margin_model(model, sales, costs):
 OLD = [("P", "2024-01-01", 10.0)]
 
 
-@pytest.mark.parametrize("by_month", [False, True])
 @pytest.mark.parametrize(
     "sales, costs, expected",
     [
@@ -333,8 +332,8 @@ OLD = [("P", "2024-01-01", 10.0)]
         ([("2024-10-01", "P", "T", 1, 5), ("2026-03-31 23:59:59", "P", "T", 1, 5)], OLD, (10.0, 20.0, -10.0)),
     ],
 )
-def test_margin(model, sales, costs, expected, by_month):
-    result = margins(margin_model(model, sales, costs), by_month=by_month)
+def test_margin(model, sales, costs, expected):
+    result = margins(margin_model(model, sales, costs))
     assert result == ({("T", "P"): expected} if expected else {})
 
 
