@@ -31,8 +31,8 @@ def run_batch(
         erp = read_erp(spark, landed, "parquet")
     bridge = build_bridge(feeds["sales"], feeds["ecommerce"], erp)
     model = build_model(
-        reconcile_sales(feeds["sales"], bridge),
-        reconcile_orders(feeds["ecommerce"], bridge),
+        reconcile_sales(feeds["sales"], bridge, check=False),  # build_bridge has checked its codes
+        reconcile_orders(feeds["ecommerce"], bridge, check=False),
         erp,
         bridge,
         feeds["exchange_rates"],

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import ERP_CODE, HANDLE_CODE, POS_CODE
-from ..operators.gates import enforce, require_columns
+from ..operators.gates import Gate, duplicate_keys, enforce, require_columns
 from ..operators.resolve import (
     CodeSystem, assemble_bridge, attach_ids, catalog_gates, explicit_pairs, mapping_gates, numbered,
     observed_codes, resolution_gates, resolve_codes,
@@ -58,11 +58,20 @@ def build_bridge(sales: DataFrame, orders: DataFrame, erp: Erp, check: bool = Tr
     return bridge.select(*COLUMNS)
 
 
-def reconcile_sales(sales: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Point-of-sale rows with ``sku_erp``."""
+def _one_product_per_code(bridge: DataFrame, code: str) -> None:
+    known = bridge.where(F.col(code).isNotNull())
+    enforce(Gate(f"The product bridge repeats {code}", duplicate_keys(known, [code]), [code]))
+
+
+def reconcile_sales(sales: DataFrame, bridge: DataFrame, check: bool = True) -> DataFrame:
+    """Point-of-sale rows with ``sku_erp``. ``check`` makes sure that the join cannot repeat a sale."""
+    if check:
+        _one_product_per_code(bridge, "sku_pos")
     return attach_ids(sales, bridge, "sku", "sku_pos", "POS")
 
 
-def reconcile_orders(orders: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Web-shop rows with ``sku_erp``."""
+def reconcile_orders(orders: DataFrame, bridge: DataFrame, check: bool = True) -> DataFrame:
+    """Web-shop rows with ``sku_erp``. ``check`` makes sure that the join cannot repeat an order."""
+    if check:
+        _one_product_per_code(bridge, "product_handle")
     return attach_ids(orders, bridge, "product_handle", "product_handle", "web shop")

@@ -21,9 +21,13 @@ class Erp:
 
 
 def _csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """CSV with a header. Columns are matched by name, extra ones are ignored; all stay text."""
+    """CSV with a header. Columns are matched by name, extra ones are ignored; all stay text.
+
+    Quotes inside a quoted field are doubled. Several files must share one header.
+    """
     wanted = [f.name for f in T.StructType.fromDDL(schema)]
-    raw = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"')
+    raw = reader.option("mode", "FAILFAST").csv(path)
     return raw.select(*[text_is_missing(F.col(c)).alias(c) for c in raw.columns if c in wanted])
 
 

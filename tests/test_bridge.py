@@ -146,6 +146,15 @@ def test_unreconciled_code_fails(frame, bridge, code, shown):
         reconcile_sales(sales, table).collect()
 
 
+def test_reconcile_needs_unique_codes(frame, bridge):
+    twice = bridge(pos=["CN-00030"], handles=["h-030"])
+    twice = twice.unionAll(twice)
+    with pytest.raises(GateError, match="bridge repeats sku_pos"):
+        reconcile_sales(frame("sku STRING"), twice)
+    with pytest.raises(GateError, match="bridge repeats product_handle"):
+        reconcile_orders(frame("product_handle STRING"), twice)
+
+
 def test_enforce_reports_the_first_broken_gate_in_order(frame):
     good = Gate("good", frame("k INT"))
     bad = Gate("bad", frame("k INT, v STRING", (2, None), (1, "x")))

@@ -8,7 +8,7 @@ import pytest
 from conftest import day, records, stamp
 from mostrador.operators import GateError
 from mostrador.plans import (
-    build_model, channel_growth, inventory_turnover, negative_margin, run_batch, star, stockout_runs,
+    audit, build_model, channel_growth, inventory_turnover, negative_margin, run_batch, star, stockout_runs,
 )
 from mostrador.schemas import MAPPINGS, MODEL_KEYS, PRODUCTS, SNAPSHOTS, STORES
 from mostrador.sources import Erp, land_erp, read_erp, read_model, read_pos, read_sources, write_model
@@ -253,6 +253,37 @@ def test_stored_facts_are_pruned_by_month(spark, feeds, tmp_path):
     assert "PushedFilters: [IsNotNull(date), IsNotNull(stock_quantity), GreaterThanOrEqual(date" in plan
 
 
+def test_audit(spark, feeds):
+    sources = read_sources(spark, **feeds)
+    reports = {
+        name: [tuple(r) for r in df.collect()]
+        for name, df in audit(sources["sales"], sources["ecommerce"], sources["inventory"]).items()
+    }
+    assert dict(reports["row_counts"]) == {
+        "sales": 3, "orders": 2, "stores": 2, "mappings": 2, "products": 2, "snapshots": 7
+    }
+    assert reports["common_range"] == [(day("2026-01-01"), day("2025-11-03"))]  # the feeds do not overlap
+    assert sorted(reports["order_currencies"]) == [("MXN", 1), ("USD", 1)]
+    assert reports["sale_codes"] == [(2, 1)] and reports["order_codes"] == [(1, 1)]
+    assert reports["unmapped_pos"] == [("CN-00030",)] and reports["unmapped_web"] == []
+    assert reports["pos_candidate_counts"] == [("CN-00030", 30, 1)]
+    assert reports["pos_unparseable"] == [(2, 1)] and reports["pos_erp_agreement"] == [(1, 0, 1)]
+    assert reports["stores_compared"] == [(2, 2, 2, 0, 0, True)]
+    assert reports["sales_coverage"] == [(3, 2, 1, 7, 6, 1)] and reports["orders_coverage"] == [(2, 2, 0, 3, 3, 0)]
+    assert reports["sentinels"] == [(7, 1, 14.2857)] and reports["repeated_readings"] == [(0,)]
+    assert reports["calendar"] == [(day("2026-01-01"), day("2026-01-07"), 7, 7, 0)]
+    assert reports["unknown_spread"] == [(1, 1, 1, 1, 1)] and reports["zero_spread"] == [(4, 1, 1, 1, 4)]
+    assert len(reports) == 50
+
+
+def test_csv_quotes_and_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('venta_id,sku\n"V""1","a,b"\n')
+    assert [tuple(r) for r in read_pos(spark, str(tmp_path / "a.csv")).collect()] == [('V"1', "a,b")]
+    (tmp_path / "b.csv").write_text("sku,venta_id\nx,V2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_pos(spark, str(tmp_path)).collect()
+
+
 def test_write_model_subset(spark, frame, tmp_path):
     write_model({"dim_store": frame("store_id STRING", ("T",))}, str(tmp_path))
     assert spark.read.parquet(str(tmp_path / "dim_store")).count() == 1
