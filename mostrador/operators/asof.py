@@ -9,18 +9,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.dates import Day, as_date
 
 FROM, UNTIL, SLICE = "_from", "_until", "_slice"
-Bound = Day | Column
-
-
-def _bound(value: Bound) -> Column:
-    return value if isinstance(value, Column) else F.lit(as_date(value))
 
 
 def validity(
     history: DataFrame,
     keys: Sequence[str],
     effective: str,
-    horizon: tuple[Bound, Bound] | None = None,
+    horizon: tuple[Day, Day] | None = None,
 ) -> DataFrame:
     """History as half-open intervals ``[_from, _until)``; an open end is NULL.
 
@@ -32,7 +27,7 @@ def validity(
     dated = history.where(F.col(effective).isNotNull())
     spans = dated.withColumn(FROM, F.col(effective)).withColumn(UNTIL, F.lead(effective).over(order))
     if horizon:
-        first, last = map(_bound, horizon)
+        first, last = (F.lit(as_date(d)) for d in horizon)
         spans = spans.where((F.col(FROM) <= last) & (F.col(UNTIL).isNull() | (F.col(UNTIL) > first)))
     return spans
 
@@ -44,24 +39,28 @@ def asof_join(
     day: str,
     effective: str,
     values: Sequence[str],
-    horizon: tuple[Bound, Bound] | None = None,
+    horizon: tuple[Day, Day] | None = None,
     slices: int = 16,
 ) -> DataFrame:
     """Left join each fact to the latest history entry with ``effective <= day``.
 
     The intervals of one key do not overlap, so a fact meets at most one of them and no ranking per
-    fact is needed. ``horizon`` is the first and last day of the facts (one more pass over their day
-    column finds it when it is not given). It is cut into time slices, and both sides join on
-    (keys, slice) with a range condition. That spreads a key that holds much of the facts over the
-    slices, compares a fact with the entries of one slice only, and keeps the output from being
-    partitioned by the keys alone, so that an adaptive skew split stays possible before a later
-    grouping. The history grows by at most ``slices`` rows per key; the optimiser broadcasts it
-    when its size allows.
+    fact is needed. Time is cut into slices, and both sides join on (keys, slice) with a range
+    condition. That spreads a key that holds much of the facts over the slices, compares a fact with
+    the entries of one slice only, and keeps the output from being partitioned by the keys alone, so
+    that an adaptive skew split stays possible before a later grouping. The history grows by at most
+    ``slices`` rows per key; the optimiser broadcasts it when its size allows.
+
+    ``horizon`` is the first and last day that the facts can have, usually the window they were
+    filtered with; a fact outside finds no entry. Without it the slices follow the history.
     """
     if horizon is None:
-        ends = facts.agg(F.min(day).alias("first"), F.max(day).alias("last"))
-        horizon = (ends.select("first").scalar(), ends.select("last").scalar())
-    first, last = map(_bound, horizon)
+        ends = history.agg(F.min(effective).alias("first"), F.max(effective).alias("last"))
+        first, last = ends.select("first").scalar(), ends.select("last").scalar()
+        fact_day = F.least(F.col(day), last)  # after the last change the last slice goes on
+    else:
+        first, last = (F.lit(as_date(d)) for d in horizon)
+        fact_day = F.col(day)
     width = F.ceil((F.date_diff(last, first) + 1) / F.lit(slices))
 
     def slice_of(when: Column) -> Column:
@@ -74,7 +73,7 @@ def asof_join(
         SLICE, F.explode(F.sequence(slice_of(starts_on), slice_of(ends_on)))
     )
     on = [*keys, SLICE]
-    left = facts.withColumn(SLICE, slice_of(F.col(day))).alias("f")
+    left = facts.withColumn(SLICE, slice_of(fact_day)).alias("f")
     right = spans.select(*on, FROM, UNTIL, *values).alias("h")
     matches = [F.col(f"f.{k}") == F.col(f"h.{k}") for k in on]
     matches.append(F.col(f"f.{day}") >= F.col(f"h.{FROM}"))

@@ -31,15 +31,18 @@ def session(app: str = "mostrador", master: str | None = None, **extra: str) ->
     return builder.getOrCreate()
 
 
+LOCAL_FOLDER = "mostrador.local.folder"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only on a local master."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(LOCAL_FOLDER, None)
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="mostrador-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    spark.conf.set(LOCAL_FOLDER, folder)
     return folder
 
 
