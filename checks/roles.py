@@ -13,7 +13,7 @@ The sample data has no stores, stock or exchange rates, so its tables stand in f
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from mostrador.operators.series import calendar
 
@@ -21,13 +21,18 @@ FIRST, LAST = "1995-01-01", "2001-12-31"  # all orders and shipments of the samp
 
 
 class Tables:
-    """Lazy sample tables by attribute."""
+    """Lazy sample tables by attribute. The schema of a file is looked up once per process."""
+
+    _schemas: dict[str, T.StructType] = {}
 
     def __init__(self, spark: SparkSession, folder: str):
         self._spark, self._folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        table = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        path = f"{self._folder}/{name}.parquet"
+        if path not in self._schemas:
+            self._schemas[path] = self._spark.read.parquet(path).schema
+        table = self._spark.read.schema(self._schemas[path]).parquet(path)
         setattr(self, name, table)
         return table
 

@@ -33,6 +33,22 @@ MISSING_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+# Star schema: the columns of each table.
+MODEL = {
+    "dim_product": (
+        "product_id STRING, product_name STRING, category STRING, sku_pos STRING, product_handle STRING, "
+        "product_number BIGINT, pos_mapping_method STRING, shopify_mapping_method STRING"
+    ),
+    "dim_store": "store_id STRING, city STRING, region STRING, timezone STRING",
+    "fact_sales": (
+        "transaction_id STRING, sold_at TIMESTAMP_NTZ, product_id STRING, channel STRING, store_id STRING, "
+        "quantity BIGINT, amount_native DOUBLE, currency STRING, document_type STRING"
+    ),
+    "fact_inventory": "date DATE, store_id STRING, product_id STRING, stock_quantity BIGINT",
+    "fact_product_cost": "product_id STRING, effective_date DATE, cost_mxn DOUBLE, supplier STRING",
+    "fact_exchange_rate": "rate_date DATE, currency STRING, rate_to_mxn DOUBLE",
+}
+
 # Star schema: table -> columns that identify a row (empty: no key is enforced).
 MODEL_KEYS = {
     "dim_product": ("product_id",),

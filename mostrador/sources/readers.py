@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import text_is_missing
-from ..schemas import ERP_SECTIONS, FX_RATES, MODEL_KEYS, POS_SALES
+from ..schemas import ERP_SECTIONS, FX_RATES, MODEL, MONTH_PARTITIONS, POS_SALES
 
 
 @dataclass(frozen=True)
@@ -75,7 +75,7 @@ def read_erp(spark: SparkSession, path: str, layout: str = "document") -> Erp:
         if layout == "lines":
             return spark.read.schema(rows).option("mode", "FAILFAST").json(f"{path}/{name}")
         if layout == "parquet":
-            return spark.read.parquet(f"{path}/{name}")
+            return spark.read.schema(rows).parquet(f"{path}/{name}")
         raise ValueError(f"unknown layout {layout!r}")
 
     return Erp(**{name: one(name) for name in ERP_SECTIONS})
@@ -94,5 +94,12 @@ def read_sources(
 
 
 def read_model(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The stored star schema, one lazy frame per table."""
-    return {name: spark.read.parquet(f"{root}/{name}") for name in MODEL_KEYS}
+    """The stored star schema, one lazy frame per table, with the month columns of the large facts."""
+
+    def one(name: str) -> DataFrame:
+        schema = MODEL[name]
+        if name in MONTH_PARTITIONS:
+            schema += f", {MONTH_PARTITIONS[name][1]} DATE"
+        return spark.read.schema(schema).parquet(f"{root}/{name}")
+
+    return {name: one(name) for name in MODEL}

@@ -7,6 +7,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from mostrador.schemas import MODEL  # noqa: E402
 from mostrador.session import session  # noqa: E402
 
 
@@ -33,17 +34,7 @@ def frame(spark):
     return make
 
 
-MODEL_SCHEMAS = {
-    "dim_product": "product_id STRING, product_name STRING, category STRING",
-    "dim_store": "store_id STRING, city STRING, region STRING, timezone STRING",
-    "fact_sales": (
-        "transaction_id STRING, sold_at TIMESTAMP_NTZ, product_id STRING, channel STRING, store_id STRING, "
-        "quantity BIGINT, amount_native DOUBLE, currency STRING, document_type STRING"
-    ),
-    "fact_inventory": "date DATE, store_id STRING, product_id STRING, stock_quantity BIGINT",
-    "fact_exchange_rate": "rate_date DATE, currency STRING, rate_to_mxn DOUBLE",
-    "fact_product_cost": "product_id STRING, effective_date DATE, cost_mxn DOUBLE, supplier STRING",
-}
+MODEL_SCHEMAS = MODEL | {"dim_product": "product_id STRING, product_name STRING, category STRING"}
 
 
 def day(text):
