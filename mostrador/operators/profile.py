@@ -331,13 +331,12 @@ def rows_per_day_summary(df: DataFrame, day: str) -> DataFrame:
 def spread(df: DataFrame, condition: Column, pair: tuple[str, str], day: str) -> DataFrame:
     """Rows that meet a condition, and the pairs, stores, products and days they touch."""
     store, product = pair
-    cells = df.where(condition).groupBy(store, product, F.to_date(day).alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
-    return cells.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_rows"),
+    return df.where(condition).agg(
+        F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct(F.struct(store, product)).alias("n_pairs"),
         F.count_distinct(store).alias("n_stores"),
         F.count_distinct(product).alias("n_products"),
-        F.count_distinct("_day").alias("n_days"),
+        F.count_distinct(F.to_date(day)).alias("n_days"),
     )
 
 
