@@ -8,6 +8,7 @@ from ..functions import ERP_CODE, HANDLE_CODE, POS_CODE, lenient_integer
 from ..functions.dates import Day
 from ..operators import profile
 from ..operators.resolve import CodeSystem, numbered, observed_codes
+from ..session import settle
 from ..sources.readers import Erp
 from .bridge import POS, WEB
 
@@ -16,10 +17,13 @@ PAIR = ("tienda_id", "sku_erp")
 
 
 def audit_identifiers(sales: DataFrame, orders: DataFrame, erp: Erp) -> dict[str, DataFrame]:
-    """Codes of the three systems: uniqueness, coverage by the mappings, agreement of their numbers."""
+    """Codes of the three systems: uniqueness, coverage by the mappings, agreement of their numbers.
+
+    The distinct codes of each fact are stored once; the reports on codes read those.
+    """
     catalog = numbered(erp.products.select("sku_erp", "nombre", "categoria"), "sku_erp", ERP_CODE)
-    pos = observed_codes(sales, "sku", "sku_pos")
-    web = observed_codes(orders, "product_handle", "handle")
+    pos = settle(observed_codes(sales, "sku", "sku_pos"), "audit-pos")
+    web = settle(observed_codes(orders, "product_handle", "handle"), "audit-web")
     unmapped_pos = profile.missing_from(pos, "sku_pos", erp.mappings, "sku_pos").withColumnRenamed("value", "sku_pos")
     unmapped_web = profile.missing_from(web, "handle", erp.mappings, "handle").withColumnRenamed("value", "handle")
     reports = {
@@ -28,8 +32,8 @@ def audit_identifiers(sales: DataFrame, orders: DataFrame, erp: Erp) -> dict[str
         "sale_codes": profile.id_uniqueness(sales, "sku"),
         "order_ids": profile.id_uniqueness(orders, "order_id"),
         "order_codes": profile.id_uniqueness(orders, "product_handle"),
-        "pos_mapping_overlap": profile.set_comparison(sales, "sku", erp.mappings, "sku_pos"),
-        "web_mapping_overlap": profile.set_comparison(orders, "product_handle", erp.mappings, "handle"),
+        "pos_mapping_overlap": profile.set_comparison(pos, "sku_pos", erp.mappings, "sku_pos"),
+        "web_mapping_overlap": profile.set_comparison(web, "handle", erp.mappings, "handle"),
         "mapping_nulls": profile.null_counts(erp.mappings, ["sku_erp", "handle"]),
         "stores_compared": profile.set_comparison(sales, "tienda_id", erp.stores, "tienda_id"),
         "unmapped_pos": unmapped_pos,
@@ -59,7 +63,7 @@ def audit_snapshots(erp: Erp) -> dict[str, DataFrame]:
     """The daily stock panel: calendar, coverage of the pairs, unknown and zero readings."""
     raw = erp.snapshots
     stock = raw.withColumn("stock", lenient_integer(F.col("cantidad_en_stock"), "cantidad_en_stock"))
-    per_pair = profile.missing_per_pair(stock, PAIR, "stock")
+    per_pair = settle(profile.missing_per_pair(stock, PAIR, "stock"), "audit-pairs")
     return {
         "sentinels": profile.sentinel_share(raw, "cantidad_en_stock"),
         "repeated_readings": profile.duplicate_row_count(raw, ["fecha", *PAIR]),
@@ -84,7 +88,10 @@ def audit(
     start: Day = "2025-10-01",
     end: Day = "2026-03-31",
 ) -> dict[str, DataFrame]:
-    """All reports by name, lazy: each is computed when it is read. The window is for the coverage reports."""
+    """All reports by name. Each is computed when it is read, except for the tables that several reports share.
+
+    ``start`` and ``end`` bound the coverage reports.
+    """
     catalog = numbered(erp.products.select("sku_erp"), "sku_erp", ERP_CODE)
     tables = {
         "sales": sales, "orders": orders, "stores": erp.stores, "mappings": erp.mappings,
