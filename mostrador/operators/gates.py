@@ -30,24 +30,24 @@ class Gate:
     order: Sequence[str] = field(default=())
     glue: str = " / "
 
-    def preview(self, position: int, rows: int) -> DataFrame:
+    def keys(self, position: int) -> DataFrame:
         shown = list(self.order) or self.violations.columns
         text = F.concat_ws(self.glue, *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in shown])
-        ranked = self.violations.orderBy(*shown).limit(rows)
-        return ranked.select(F.lit(position).alias("gate"), text.alias("key"))
+        return self.violations.select(F.lit(position).alias("gate"), text.alias("key"))
 
 
 def enforce(*gates: Gate, preview: int = PREVIEW) -> None:
-    """Raise for the first broken gate; at most ``preview + 1`` rows per gate reach the driver."""
+    """Raise for the first broken gate, with its first keys.
+
+    All gates run as one job, and at most ``preview + 1`` rows reach the driver.
+    """
     if not gates:
         return
-    shown = [gate.preview(i, preview + 1) for i, gate in enumerate(gates)]
-    broken: dict[int, list[str]] = {}
-    for row in reduce(DataFrame.unionByName, shown).collect():
-        broken.setdefault(row["gate"], []).append(row["key"])
-    if broken:
-        first = min(broken)
-        keys = broken[first]
+    every = reduce(DataFrame.unionByName, [gate.keys(i) for i, gate in enumerate(gates)])
+    rows = every.orderBy("gate", "key").limit(preview + 1).collect()
+    if rows:
+        first = rows[0]["gate"]
+        keys = [row["key"] for row in rows if row["gate"] == first]
         more = ", ..." if len(keys) > preview else ""
         count = f"more than {preview}" if more else str(len(keys))
         raise GateError(f"{gates[first].message} ({count} found: {', '.join(keys[:preview])}{more})")
