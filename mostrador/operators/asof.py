@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import Day, as_date
+from ..session import settle
 
 FROM, UNTIL, SLICE = "_from", "_until", "_slice"
 
@@ -41,6 +42,7 @@ def asof_join(
     values: Sequence[str],
     horizon: tuple[Day, Day] | None = None,
     slices: int = 16,
+    store: bool = True,
 ) -> DataFrame:
     """Left join each fact to the latest history entry with ``effective <= day``.
 
@@ -49,7 +51,11 @@ def asof_join(
     condition. That spreads a key that holds much of the facts over the slices, compares a fact with
     the entries of one slice only, and keeps the output from being partitioned by the keys alone, so
     that an adaptive skew split stays possible before a later grouping. The history grows by at most
-    ``slices`` rows per key; the optimiser broadcasts it when its size allows.
+    ``slices`` rows per key.
+
+    The optimiser broadcasts the sliced history when its size allows. It cannot foresee how much the
+    slices add, so the sliced history is written once (``store``) and its exact size decides;
+    ``store=False`` keeps the call free of jobs, for histories known to be small.
 
     ``horizon`` is the first and last day that the facts can have, usually the window they were
     filtered with; a fact outside finds no entry. Without it the slices follow the history.
@@ -74,7 +80,8 @@ def asof_join(
     )
     on = [*keys, SLICE]
     left = facts.withColumn(SLICE, slice_of(fact_day)).alias("f")
-    right = spans.select(*on, FROM, UNTIL, *values).alias("h")
+    right = spans.select(*on, FROM, UNTIL, *values)
+    right = (settle(right, "history") if store else right).alias("h")
     matches = [F.col(f"f.{k}") == F.col(f"h.{k}") for k in on]
     matches.append(F.col(f"f.{day}") >= F.col(f"h.{FROM}"))
     matches.append(F.col(f"h.{UNTIL}").isNull() | (F.col(f"f.{day}") < F.col(f"h.{UNTIL}")))

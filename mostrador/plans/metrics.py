@@ -149,7 +149,7 @@ def channel_growth(
     return shown.orderBy("month", "channel") if ordered else shown
 
 
-def costed_pairs(model: Model, start: Day, end: Day) -> DataFrame:
+def costed_pairs(model: Model, start: Day, end: Day, store: bool = True) -> DataFrame:
     """Revenue, cost and rows without a cost per (store, product)."""
     sales = _physical(model["fact_sales"], start, end).select(
         "store_id", "product_id", F.to_date("sold_at").alias("sale_date"), "quantity", "amount_native"
@@ -162,6 +162,7 @@ def costed_pairs(model: Model, start: Day, end: Day) -> DataFrame:
         "effective_date",
         ["cost_mxn"],
         (start, end),
+        store=store,
     )
     return costed.groupBy("store_id", "product_id").agg(
         money_total("amount_native").alias("revenue"),
@@ -181,10 +182,10 @@ def negative_margin(
 
     A sale costs its quantity times the unit cost in force on its day. A sale without a cost is an
     error: with ``check`` the pair totals are stored once, the gate reads them and raises
-    ``GateError``; without it the job that reads the result fails. Either way the facts are read
-    once.
+    ``GateError``; without it the call runs no job, and the job that reads the result fails. Either
+    way the facts are read once.
     """
-    pairs = costed_pairs(model, start, end)
+    pairs = costed_pairs(model, start, end, store=check)
     if check:
         pairs = settle(pairs, "margin-pairs")
         broken = uncosted(pairs.withColumn("_cost", F.when(F.col("n_uncosted") == 0, F.lit(1))), "_cost", "product_id")

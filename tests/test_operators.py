@@ -55,6 +55,7 @@ def dated(frame):
         dict(horizon=("2025-01-01", "2026-02-24"), slices=1),
         dict(horizon=("2025-01-01", "2026-02-24"), slices=1000),
         dict(horizon=("2020-01-01", "2030-01-01"), slices=7),
+        dict(horizon=("2025-01-01", "2026-02-24"), store=False),
         dict(),
     ],
 )
