@@ -28,19 +28,42 @@ def op2_mix_sources(spark, sf_dir):
     return mix_counts(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark, sf_dir):
+    from .langid import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op7_decontaminate(spark, sf_dir):
+    from .decontaminate import find_contamination
+
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
+
+
 def op8_token_counts(spark, sf_dir):
     from .token_counts import count_tokens
 
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op9_toxicity(spark, sf_dir):
+    from .toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_simhash_groups(spark, sf_dir):
     from .simhash import simhash_groups
 
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scans, op2_mix_sources, op8_token_counts, op10_simhash_groups)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_secret_scans, op2_mix_sources, op5_language_id, op7_decontaminate, op8_token_counts, op9_toxicity, op10_simhash_groups
+    )
+}
 
 ORACLE: dict[str, str] = {
     "op2_mix_sources": r"""
