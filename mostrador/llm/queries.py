@@ -28,6 +28,12 @@ def op2_mix_sources(spark, sf_dir):
     return mix_counts(table(spark, sf_dir, "documents"))
 
 
+def op4_html_text(spark, sf_dir):
+    from .html_text import extract_text
+
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op5_language_id(spark, sf_dir):
     from .langid import identify
 
@@ -61,7 +67,7 @@ def op10_simhash_groups(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_secret_scans, op2_mix_sources, op5_language_id, op7_decontaminate, op8_token_counts, op9_toxicity, op10_simhash_groups
+        op1_secret_scans, op2_mix_sources, op4_html_text, op5_language_id, op7_decontaminate, op8_token_counts, op9_toxicity, op10_simhash_groups
     )
 }
 
