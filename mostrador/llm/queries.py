@@ -40,6 +40,12 @@ def op5_language_id(spark, sf_dir):
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op6_repeats(spark, sf_dir):
+    from .repeats import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op7_decontaminate(spark, sf_dir):
     from .decontaminate import find_contamination
 
@@ -67,7 +73,7 @@ def op10_simhash_groups(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_secret_scans, op2_mix_sources, op4_html_text, op5_language_id, op7_decontaminate, op8_token_counts, op9_toxicity, op10_simhash_groups
+        op1_secret_scans, op2_mix_sources, op4_html_text, op5_language_id, op6_repeats, op7_decontaminate, op8_token_counts, op9_toxicity, op10_simhash_groups
     )
 }
 
