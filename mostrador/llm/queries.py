@@ -28,6 +28,12 @@ def op2_mix_sources(spark, sf_dir):
     return mix_counts(table(spark, sf_dir, "documents"))
 
 
+def op3_embeddings(spark, sf_dir):
+    from .embeddings import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_html_text(spark, sf_dir):
     from .html_text import extract_text
 
@@ -73,7 +79,7 @@ def op10_simhash_groups(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_secret_scans, op2_mix_sources, op4_html_text, op5_language_id, op6_repeats, op7_decontaminate, op8_token_counts, op9_toxicity, op10_simhash_groups
+        op1_secret_scans, op2_mix_sources, op3_embeddings, op4_html_text, op5_language_id, op6_repeats, op7_decontaminate, op8_token_counts, op9_toxicity, op10_simhash_groups
     )
 }
 
