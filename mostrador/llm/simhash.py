@@ -168,11 +168,13 @@ def keep_one_per_group(docs: DataFrame, id_column: str = "doc_id", text_column:
     first = F.struct(F.col("id").isNull().alias("none"), "id", "row", "fp")
     winners = (
         rows.groupBy("fp").agg(F.min(first).alias("w")).join(placed.select("fp", "root"), "fp")
-        .groupBy("root").agg(F.min("w").alias("w")).select("w.fp", "w.id", "w.row")
+        .groupBy("root").agg(F.min("w").alias("w"))
     )
+    of_fp, of_id, of_row = fresh(docs, "first_fp"), fresh(docs, "first_id"), fresh(docs, "first_row")
+    winners = winners.select(F.col("w.fp").alias(of_fp), F.col("w.id").alias(of_id), F.col("w.row").alias(of_row))
     kept = marked.join(
         winners,
-        (F.col(own) == F.col("fp")) & (F.col(row_hash) == F.col("row")) & F.col(f"`{id_column}`").eqNullSafe(F.col("id")),
+        (F.col(own) == F.col(of_fp)) & (F.col(row_hash) == F.col(of_row)) & F.col(f"`{id_column}`").eqNullSafe(F.col(of_id)),
         "left_semi",
     )
     return kept.dropDuplicates([own, row_hash]).select(*(F.col(f"`{c}`") for c in names))

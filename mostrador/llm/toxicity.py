@@ -33,7 +33,7 @@ SAMPLE, LONGEST = 6000, 16 << 10
 #: Words that are scored at once.
 BATCH = 1 << 17
 THRESHOLD = 0.7
-ROUNDS, EPOCHS, RATE, LEARNED_AT_ONCE = 3, 5, 0.02, 512
+ROUNDS, EPOCHS, RATE, LEARNED_AT_ONCE, LEAST_STEPS = 3, 5, 0.02, 512, 120
 INPUTS = 6
 
 
@@ -232,8 +232,9 @@ class Network:
         share = np.clip(target.mean(), 1e-3, 1 - 1e-3)
         weights = np.where(target > 0, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
         m, v, step = {}, {}, 0
-        for _ in range(epochs):
-            for part in np.array_split(rng.permutation(len(target)), max(1, len(target) // LEARNED_AT_ONCE)):
+        parts = max(1, len(target) // min(LEARNED_AT_ONCE, max(32, len(target) // 16)))
+        for _ in range(max(epochs, -(-LEAST_STEPS // parts))):
+            for part in np.array_split(rng.permutation(len(target)), parts):
                 step += 1
                 for name, g in self.gradients(words[:, part], table, target[part], weights[part]).items():
                     m[name] = 0.9 * m.get(name, 0) + 0.1 * g
