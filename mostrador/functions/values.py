@@ -6,10 +6,9 @@ from pyspark.sql import Column, functions as F
 
 from ..schemas import MISSING_TOKENS
 
-# Money is totalled exactly, so a total does not depend on the order in which shuffle blocks arrive.
-# The widths are chosen so that MONEY_TOTAL * RATE fits 38 digits without rounding.
-MONEY_TOTAL = "decimal(22,6)"
-RATE = "decimal(15,8)"
+# Money is totalled exactly, so a total does not depend on the order in which shuffle blocks arrive. Two
+# values of this width add and subtract without rounding; a value that it cannot hold fails the job.
+MONEY_TOTAL = "decimal(36,18)"
 LOW_BITS = 20
 
 
@@ -54,9 +53,16 @@ def strict_number(value: Column, what: str, is_text: bool = True) -> Column:
 
 
 def _whole(value: Column, is_text: bool) -> Column:
-    """BIGINT where the value is a whole number in range, else NULL."""
+    """BIGINT where the value is a whole number in range, else NULL.
+
+    Digits are read as they are; only what is no plain decimal number, such as ``1e3``, goes through DOUBLE.
+    """
+    plain = value.try_cast("bigint") if is_text else F.lit(None).cast("bigint")
     number = _number(value, is_text)
-    return F.when(number == F.floor(number), number.try_cast("bigint"))
+    digits = F.when(number.isNotNull(), value.try_cast("decimal(38,10)"))
+    whole = F.when((digits == F.floor(digits)) & (number == F.floor(number)), digits.try_cast("bigint"))
+    as_double = F.when(digits.isNull() & (number == F.floor(number)), number.try_cast("bigint"))
+    return F.coalesce(plain, whole, as_double)
 
 
 def strict_integer(value: Column, what: str, is_text: bool = True) -> Column:
@@ -71,27 +77,58 @@ def lenient_integer(value: Column, what: str, is_text: bool = True) -> Column:
     return F.coalesce(_whole(value, is_text), F.when(wrong, _fail(what, value, "a whole number")))
 
 
+def exact(amount: Column) -> Column:
+    """The decimal number that an amount is written as; the job fails on one that ``MONEY_TOTAL`` cannot hold."""
+    value = amount.cast("double")
+    digits = amount.try_cast(MONEY_TOTAL)
+    held = F.when(digits.cast("double") == value, digits)
+    return F.coalesce(held, F.when(amount.isNotNull(), _fail("amount", amount, f"a number of {MONEY_TOTAL}")))
+
+
 def micros(amount: Column | str) -> Column:
-    """An amount in whole millionths, as BIGINT."""
-    value = F.col(amount) if isinstance(amount, str) else amount
-    return F.rint(value * F.lit(1e6)).cast("bigint")
+    """An amount in whole millionths, as BIGINT; NULL where it has more decimals or does not fit."""
+    value = (F.col(amount) if isinstance(amount, str) else amount).cast("double")
+    units = F.rint(value * F.lit(1e6)).try_cast("bigint")
+    return F.when(units.cast("double") / F.lit(1e6) == value, units)
 
 
-def micros_total(units: Column) -> Column:
-    """Exact total of :func:`micros`, as a decimal amount.
+def exact_total(units: Column, rest: Column) -> Column:
+    """Exact total of amounts: millionths where they are whole, the amounts themselves (``rest``) elsewhere.
 
-    Two BIGINT sums, of the high and of the low bits, instead of a decimal sum: neither overflows
-    before 2^43 rows, and both run in generated code, several times faster than decimals.
+    Two BIGINT sums, of the high and of the low bits of the millionths, instead of a decimal sum: neither
+    overflows before 2^43 rows, and both run in generated code, several times faster than decimals. Only amounts
+    with more decimals are added as decimals.
     """
     high = F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(20,0)")
     low = F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1))).cast("decimal(20,0)")
     whole = high * F.lit(1 << LOW_BITS).cast("decimal(7,0)") + low
-    return (whole.cast("decimal(28,0)") * F.lit("0.000001").cast("decimal(6,6)")).cast(MONEY_TOTAL)
+    millionths = (whole.cast("decimal(24,0)") * F.lit("0.000001").cast("decimal(6,6)")).cast(MONEY_TOTAL)
+    others = F.sum(rest).cast(MONEY_TOTAL)
+    none = F.lit(0).cast(MONEY_TOTAL)
+    both = F.coalesce(millionths, none) + F.coalesce(others, none)
+    return F.when(millionths.isNotNull() | others.isNotNull(), both.cast(MONEY_TOTAL))
 
 
 def money_total(amount: Column | str) -> Column:
-    """Exact total of an amount column with up to six decimals."""
-    return micros_total(micros(amount))
+    """Exact total of an amount column."""
+    value = F.col(amount) if isinstance(amount, str) else amount
+    units = micros(value)
+    return exact_total(units, F.when(units.isNull(), exact(value)))
+
+
+def cost_total(quantity: Column, unit_cost: Column) -> Column:
+    """Exact total of quantity times unit cost; a unit cost with more than six decimals is multiplied as it is."""
+    units = micros(unit_cost)
+    product = exact(quantity.cast("double") * unit_cost.cast("double"))
+    return exact_total(quantity * units, F.when(units.isNull(), product))
+
+
+def exact_product(amount: Column, factor: Column) -> Column:
+    """Amount times factor: in decimals where all digits fit, else the nearest double; never cut to a scale."""
+    whole, short, narrow = exact(amount), "decimal(22,6)", "decimal(15,8)"
+    a, b = whole.try_cast(short), factor.try_cast(narrow)
+    fits = (a == whole) & (b.cast("double") == factor.cast("double"))
+    return F.coalesce(F.when(fits, (a * b).try_cast(MONEY_TOTAL)), exact(whole.cast("double") * factor.cast("double")))
 
 
 def guarded_ratio(part: Column, whole: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import MONEY_TOTAL, RATE
+from ..functions import exact, exact_product
 
 
 def convert_currency(
@@ -21,15 +21,14 @@ def convert_currency(
     """Add the amount in the base currency, by the rate of the row's day and currency.
 
     Base-currency rows pass unchanged; a row without a rate gets NULL. Works on single sales and on
-    totals per (currency, day) alike: the rate is constant there and decimals multiply exactly, so
-    converting a total equals totalling the converted rows.
+    totals per (currency, day) alike: the rate is constant there, so converting a total equals totalling
+    the converted rows. Amounts and rates keep all their digits; a result too large for the type fails the job.
     """
     table = rates.select(
-        F.col(rate_day).alias("_rate_day"), F.col(currency).alias("_rate_currency"), F.col(rate).cast(RATE).alias("_rate")
+        F.col(rate_day).alias("_rate_day"), F.col(currency).alias("_rate_currency"), F.col(rate).alias("_rate")
     )
     match = (F.col(currency) == F.col("_rate_currency")) & (F.col(day) == F.col("_rate_day"))
-    native = F.col(amount).cast(MONEY_TOTAL)
-    converted = F.when(F.col(currency) == base, native.cast("decimal(38,14)")).otherwise(native * F.col("_rate"))
+    converted = F.when(F.col(currency) == base, exact(F.col(amount))).otherwise(exact_product(F.col(amount), F.col("_rate")))
     return (
         sales.join(table, match, "left")
         .withColumn(out, converted)

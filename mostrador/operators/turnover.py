@@ -8,13 +8,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import guarded_ratio
 
-AVERAGE = "decimal(28,10)"
-
-
 def stock_by_pair(readings: DataFrame, pair: Sequence[str], stock: str) -> DataFrame:
-    """Per pair: average known stock, known readings, all readings. Zero is a known reading."""
+    """Per pair: average and sum of known stock, known readings, all readings. Zero is a known reading."""
     return readings.groupBy(*pair).agg(
         F.avg(stock).alias("avg_stock"),
+        F.sum(stock).alias("sum_stock"),
         F.count(stock).alias("observed_days"),
         F.count(F.lit(1)).alias("expected_days"),
     )
@@ -41,16 +39,29 @@ def matched_turnover(
 
     Each fact is read once and grouped by (store, product) first: that combines a hot product
     before the shuffle, and both sides are then already partitioned on the join key. Sales of pairs
-    without readings find no partner. Averages are added as decimals, so the result does not depend
-    on the order of addition.
+    without readings find no partner.
+
+    Averages of pairs with equally many known readings are added as whole numbers, and the few such sums of a
+    product in the order of those numbers: nothing is rounded to a scale, and the result does not depend
+    on the order in which rows arrive.
     """
     pair = [store, product]
     sold = sales.groupBy(*pair).agg(F.sum(units).alias("units"))
     pairs = stock_by_pair(readings, pair, stock).join(sold, pair, "left")
-    totals = pairs.groupBy(product).agg(
+    alike = pairs.groupBy(product, F.col("observed_days").alias("days")).agg(
+        F.sum("units").alias("units"),
+        F.sum("sum_stock").alias("sum_stock"),
+        F.count(store).alias("stores"),
+        F.sum("observed_days").alias("observed_days"),
+        F.sum("expected_days").alias("expected_days"),
+    )
+    share = F.struct("days", (F.col("sum_stock").cast("double") / F.col("days")).alias("average"))
+    shares = F.array_sort(F.collect_list(F.when(F.col("days") > 0, share)))
+    average = F.aggregate(shares, F.lit(0.0), lambda total, x: total + x["average"])
+    totals = alike.groupBy(product).agg(
         F.coalesce(F.sum("units"), F.lit(0)).cast("bigint").alias("physical_units_sold"),
-        F.sum(F.col("avg_stock").cast(AVERAGE)).cast("double").alias("average_inventory_units"),
-        F.count(store).alias("store_count"),
+        F.when(F.max("days") > 0, average).alias("average_inventory_units"),
+        F.sum("stores").alias("store_count"),
         F.sum("observed_days").alias("observed_days"),
         F.sum("expected_days").alias("expected_days"),
     )

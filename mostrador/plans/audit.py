@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import ERP_CODE, HANDLE_CODE, POS_CODE, lenient_integer
+from ..functions import ERP_CODE, HANDLE_CODE, POS_CODE
 from ..functions.dates import Day
 from ..operators import profile
 from ..operators.resolve import CodeSystem, numbered, observed_codes
@@ -62,7 +62,8 @@ def audit_identifiers(sales: DataFrame, orders: DataFrame, erp: Erp) -> dict[str
 def audit_snapshots(erp: Erp) -> dict[str, DataFrame]:
     """The daily stock panel: calendar, coverage of the pairs, unknown and zero readings."""
     raw = erp.snapshots
-    stock = raw.withColumn("stock", lenient_integer(F.col("cantidad_en_stock"), "cantidad_en_stock"))
+    # the reports describe the feed as it is: what is no number is unknown, a fraction is a reading
+    stock = raw.withColumn("stock", F.nullif(F.col("cantidad_en_stock").try_cast("double"), F.lit(float("nan"))))
     per_pair = settle(profile.missing_per_pair(stock, PAIR, "stock"), "audit-pairs")
     return {
         "sentinels": profile.sentinel_share(raw, "cantidad_en_stock"),
@@ -110,7 +111,7 @@ def audit(
     for name, facts, when, code, pattern in (
         ("sales", sales, "fecha_hora", "sku", POS_CODE), ("orders", orders, "fecha", "product_handle", HANDLE_CODE)
     ):
-        units = facts.withColumn("cantidad", F.col("cantidad").cast("bigint"))
+        units = facts.withColumn("cantidad", F.col("cantidad").try_cast("double"))
         reports[f"{name}_coverage"] = profile.coverage_in_window(
             units, when, code, pattern, "cantidad", catalog, "product_number", start, end
         )

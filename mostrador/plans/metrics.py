@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import micros, micros_total, money_total, month_of, percent, within
+from ..functions import cost_total, money_total, month_of, percent, within
 from ..functions.dates import Day, as_date
 from ..operators.asof import asof_join
 from ..operators.currency import convert_currency
@@ -64,16 +64,18 @@ def stockout_runs(
     """Stretches of consecutive days with a confirmed stock of zero, per store and product.
 
     Unknown stock is not zero and ends a stretch, as does a day without a row. Stretches are
-    clipped to the window.
+    clipped to the window. Two readings of one day, whatever they are, fail the job; with
+    ``on_duplicate="merge"`` one zero among them makes the day a zero day.
     """
-    zero = within(model["fact_inventory"], "date", start, end, "stock_month").where("stock_quantity = 0")
+    readings = within(model["fact_inventory"], "date", start, end, "stock_month")
     events = consecutive_days(
-        zero,
+        readings,
         ["store_id", "product_id"],
         "date",
         min_days,
         on_duplicate,
         ("stockout_start", "stockout_end", "stockout_days"),
+        counts=F.col("stock_quantity") == 0,
     )
     stores = model["dim_store"].select("store_id", "city", "region")
     products = model["dim_product"].select("product_id", "product_name")
@@ -149,6 +151,12 @@ def channel_growth(
     return shown.orderBy("month", "channel") if ordered else shown
 
 
+def several_costs(history: DataFrame) -> Gate:
+    """A product has at most one cost from a day on."""
+    keys = ["product_id", "effective_date"]
+    return Gate("Several costs for one product and effective date", duplicate_keys(history, keys), keys)
+
+
 def costed_pairs(model: Model, start: Day, end: Day, store: bool = True) -> DataFrame:
     """Revenue, cost and rows without a cost per (store, product)."""
     sales = _physical(model["fact_sales"], start, end).select(
@@ -166,7 +174,7 @@ def costed_pairs(model: Model, start: Day, end: Day, store: bool = True) -> Data
     )
     return costed.groupBy("store_id", "product_id").agg(
         money_total("amount_native").alias("revenue"),
-        micros_total(F.col("quantity") * micros("cost_mxn")).alias("cost"),
+        cost_total(F.col("quantity"), F.col("cost_mxn")).alias("cost"),
         F.count_if(F.col("cost_mxn").isNull()).alias("n_uncosted"),
     )
 
@@ -181,10 +189,13 @@ def negative_margin(
     """(Store, product) pairs whose physical sales cost more than they earned.
 
     A sale costs its quantity times the unit cost in force on its day. A sale without a cost is an
-    error: with ``check`` the pair totals are stored once, the gate reads them and raises
-    ``GateError``; without it the call runs no job, and the job that reads the result fails. Either
-    way the facts are read once.
+    error, and so are two costs of a product from one day: with ``check`` the pair totals are stored once,
+    the gates read them and the costs and raise ``GateError``; without it the call runs no job, the job
+    that reads the result fails on a missing cost, and costs are taken to be unique. Either way the facts
+    are read once.
     """
+    if check:
+        enforce(several_costs(model["fact_product_cost"]))
     pairs = costed_pairs(model, start, end, store=check)
     if check:
         pairs = settle(pairs, "margin-pairs")

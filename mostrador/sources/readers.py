@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import text_is_missing
+from ..operators.gates import GateError, require_columns
 from ..schemas import ERP_SECTIONS, FX_RATES, MODEL, MONTH_PARTITIONS, POS_SALES
 
 
@@ -46,6 +47,10 @@ def read_orders(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+#: Records of a JSON Lines section that are looked at before its whole content is.
+FIRST_RECORDS = 1000
+
+
 def _nested(path: str, rows: str) -> T.StructType:
     """Schema of a document that holds only the array at ``path``."""
     kind: T.DataType = T.ArrayType(T.StructType.fromDDL(rows))
@@ -59,22 +64,59 @@ def section(document: DataFrame, path: str) -> DataFrame:
     return document.select(F.explode(path).alias("_row")).select("_row.*")
 
 
+def _fields(rows: str) -> set[str]:
+    return {f.name for f in T.StructType.fromDDL(rows)}
+
+
+def _require_fields(found: T.DataType, rows: str, name: str) -> None:
+    """Every field occurs in some record; a section without records has none to show."""
+    if isinstance(found, T.StructType) and (absent := sorted(_fields(rows) - set(found.names))):
+        raise GateError(f"{name} is missing required columns: {absent}")
+
+
+def _require_sections(document: T.StructType) -> None:
+    """The document has each section, as an array of records with the fields the star schema needs."""
+    for path, rows in ERP_SECTIONS.values():
+        kind: T.DataType = document
+        for step in path.split("."):
+            if not isinstance(kind, T.StructType) or step not in kind.names:
+                raise GateError(f"the ERP document has no section {path}")
+            kind = kind[step].dataType
+        if not isinstance(kind, T.ArrayType):
+            raise GateError(f"the ERP document's section {path} is no list")
+        _require_fields(kind.elementType, rows, path)
+
+
+def _require_lines(spark: SparkSession, where: str, rows: str, name: str) -> None:
+    """Fields of a JSON Lines section: by its first records, by all of them only if a field is not among those."""
+    first = spark.read.text(where).limit(FIRST_RECORDS)
+    found = spark.read.json(first).schema
+    if first.isEmpty() or _fields(rows) <= set(found.names):
+        return
+    _require_fields(spark.read.json(where).schema, rows, name)
+
+
 def read_erp(spark: SparkSession, path: str, layout: str = "document") -> Erp:
-    """The ERP export.
+    """The ERP export. An absent section or field raises ``GateError`` here, by its name.
 
-    ``layout="document"``: one JSON document; each section is parsed with a schema that holds that
-    section only. A single document is one task, so large exports should be landed once with
+    ``layout="document"``: one JSON document; its structure is looked up once, and each section is parsed with a
+    schema that holds that section only. A single document is one task, so large exports should be landed once with
     :func:`writers.land_erp` and read as ``layout="parquet"``, or delivered as JSON Lines
     (``layout="lines"``), both with one folder per section under ``path``.
     """
+    if layout == "document":
+        _require_sections(spark.read.option("multiLine", True).json(path).schema)
+
     def one(name: str) -> DataFrame:
         where, rows = ERP_SECTIONS[name]
         if layout == "document":
             reader = spark.read.schema(_nested(where, rows)).option("multiLine", True)
             return section(reader.option("mode", "FAILFAST").json(path), where)
         if layout == "lines":
+            _require_lines(spark, f"{path}/{name}", rows, where)
             return spark.read.schema(rows).option("mode", "FAILFAST").json(f"{path}/{name}")
         if layout == "parquet":
+            require_columns(spark.read.parquet(f"{path}/{name}"), _fields(rows), where)
             return spark.read.schema(rows).parquet(f"{path}/{name}")
         raise ValueError(f"unknown layout {layout!r}")
 
@@ -94,12 +136,16 @@ def read_sources(
 
 
 def read_model(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The stored star schema, one lazy frame per table, with the month columns of the large facts."""
+    """The stored star schema, one lazy frame per table, with the month columns of the large facts.
+
+    A stored table that lacks a column raises ``GateError`` here.
+    """
 
     def one(name: str) -> DataFrame:
         schema = MODEL[name]
         if name in MONTH_PARTITIONS:
             schema += f", {MONTH_PARTITIONS[name][1]} DATE"
+        require_columns(spark.read.parquet(f"{root}/{name}"), _fields(schema), name)
         return spark.read.schema(schema).parquet(f"{root}/{name}")
 
     return {name: one(name) for name in MODEL}

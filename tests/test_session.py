@@ -1,31 +1,55 @@
 """Session settings and the folder for intermediate tables."""
 
+import os
 from types import SimpleNamespace
 
 import pytest
 
 from conftest import records
-from mostrador.session import settle, shared_folder
+from mostrador.session import SHUFFLE_CLEANUP, intermediate, prepare, settle, shared_folder
 
 
-class Conf(dict):
-    def set(self, key, value):
-        self[key] = value
-
-
-def fake(master, **conf):
-    return SimpleNamespace(conf=Conf(conf), sparkContext=SimpleNamespace(master=master))
+def fake(master="local[2]", chosen=None, **conf):
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: chosen)
+    context.setCheckpointDir = lambda folder: setattr(context, "getCheckpointDir", lambda: folder)
+    return SimpleNamespace(conf=conf, sparkContext=context)
 
 
 def test_shared_folder_is_the_one_of_the_session(spark):
     assert shared_folder(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
 
 
+def test_shared_folder_is_the_one_the_context_was_given():
+    assert shared_folder(fake(chosen="hdfs://a/b")) == "hdfs://a/b"
+    assert shared_folder(fake(chosen="hdfs://a/b", **{"spark.checkpoint.dir": "s3a://c"})) == "s3a://c"
+
+
 def test_shared_folder_without_a_setting():
-    local = fake("local[2]")
-    assert shared_folder(local) == shared_folder(local)
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(fake("spark://host:7077"))
+    for master in ("local[2]", "spark://host:7077"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(fake(master))
+
+
+def test_only_local_runs_are_prepared():
+    local = prepare(fake())
+    assert shared_folder(local) == shared_folder(prepare(local))
+    with pytest.raises(RuntimeError):
+        shared_folder(prepare(fake("yarn")))
+
+
+def test_intermediate_tables_are_deleted(spark, frame):
+    df = frame("a INT", (1,), (2,))
+    kept = settle(df, "kept")
+    with intermediate(spark) as paths:
+        assert settle(settle(df, "one"), "two").count() == 2
+        assert len(paths) == 2 and all(os.path.isdir(p) for p in paths)
+    assert not any(os.path.exists(p) for p in paths) and kept.count() == 2
+
+
+def test_settle_restores_the_setting(spark, frame):
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    settle(frame("a INT", (1,)), "x")
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == before
 
 
 def test_settle_keeps_rows_and_schema(spark, frame):
