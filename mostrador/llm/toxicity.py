@@ -12,10 +12,12 @@ that are trained as toxic are those with the most evidence at first, then those
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +35,7 @@ SAMPLE, LONGEST = 6000, 16 << 10
 #: Words that are scored at once.
 BATCH = 1 << 17
 THRESHOLD = 0.7
-ROUNDS, EPOCHS, RATE, LEARNED_AT_ONCE, LEAST_STEPS = 3, 5, 0.02, 512, 120
+ROUNDS, EPOCHS, RATE, LEARNED_AT_ONCE, LEAST_STEPS = 2, 5, 0.02, 512, 150
 INPUTS = 6
 
 
@@ -75,7 +77,7 @@ class Grams:
 
         def stretch(at: np.ndarray, length, salt: int) -> np.ndarray:
             value = (sums[at + length] - sums[at]) * inverse[at]
-            return (_mixed(value + np.uint64(salt)) % np.uint64(BUCKETS)).astype(np.int64)
+            return (_mixed(value + np.uint64(salt)) % np.uint64(BUCKETS)).astype(np.int32)
 
         self.words = stretch(begin, sizes, 1)
         # a prefix longer than the word is the word
@@ -83,45 +85,41 @@ class Grams:
         self.owner, self.grams = [], []
         for n in NGRAMS:
             counts = np.maximum(sizes - n + 1, 0)
-            owner = np.repeat(np.arange(len(words)), counts)
+            owner = np.repeat(np.arange(len(words), dtype=np.int32), counts)
             at = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts) + begin[owner]
             self.owner.append(owner)
             self.grams.append(stretch(at, n, 40 + n))
         self.n = len(words)
 
 
-class Held:
-    """For each text the distinct buckets of its words, of their prefixes and of their n-grams."""
-
-    def __init__(self, texts: list[np.ndarray], grams: Grams):
-        self.kinds = [grams.words, *grams.prefixes]
-        owner, gram = np.concatenate(grams.owner), np.concatenate(grams.grams)
-        order = np.argsort(owner, kind="stable")
-        gram, first = gram[order], np.searchsorted(owner[order], np.arange(grams.n + 1))
-        self.buckets = []
-        for words in texts:  # the numbers of the text's distinct words
-            inside = np.concatenate([gram[first[w] : first[w + 1]] for w in words]) if len(words) else words
-            self.buckets.append([np.unique(x) for x in (*(k[words] for k in self.kinds), inside)])
-
-    def counts(self, chosen: np.ndarray, labels: np.ndarray) -> np.ndarray:
-        """(label, kind, bucket): texts that hold the bucket."""
-        out = np.zeros((2, len(self.kinds) + 1, BUCKETS), np.float32)
-        for i in chosen:
-            for k, bucket in enumerate(self.buckets[i]):
-                out[labels[i], k, bucket] += 1
-        return out
+def count_buckets(texts: list[np.ndarray], grams: Grams, labels: np.ndarray, fold: np.ndarray, folds: int) -> np.ndarray:
+    """(fold, label, kind, bucket): texts that hold the bucket. ``texts`` are the numbers of their distinct words."""
+    kinds = [grams.words, *grams.prefixes]
+    owner, gram = np.concatenate(grams.owner), np.concatenate(grams.grams)
+    order = np.argsort(owner, kind="stable")
+    gram, first = gram[order], np.searchsorted(owner[order], np.arange(grams.n + 1))
+    del owner, order
+    out = np.zeros((folds, 2, len(kinds) + 1, BUCKETS), np.uint16)
+    for words, label, f in zip(texts, labels, fold):
+        inside = np.concatenate([gram[first[w] : first[w + 1]] for w in words]) if len(words) else words
+        for k, bucket in enumerate((*(x[words] for x in kinds), inside)):
+            out[f, label, k, np.unique(bucket)] += 1
+    return out
 
 
 class Evidence:
     """Weights of evidence of the buckets, from the numbers of texts of either label that hold them."""
 
     def __init__(self, count: np.ndarray, n: np.ndarray):
-        n = np.maximum(n, 1)
-        # log odds over their standard deviation: a word seen once says little
-        hit, miss = count[1] + 0.5 * n[1] / n.sum(), count[0] + 0.5 * n[0] / n.sum()
-        odds = np.log(hit / (n[1] + 1 - hit).clip(0.5)) - np.log(miss / (n[0] + 1 - miss).clip(0.5))
-        self.weights = np.tanh(odds / np.sqrt(1 / hit + 1 / miss) / 4).astype(np.float32)
-        self.weights[count.sum(axis=0) == 0] = 0
+        """``count``: (label, kind, bucket); ``n``: texts of each label."""
+        n, share = np.maximum(n, 1), n[1] / max(1, n.sum())
+        self.weights = np.zeros(count.shape[1:], np.float32)
+        for k in range(count.shape[1]):
+            some = np.flatnonzero(count[:, k].any(axis=0))
+            # log odds over their standard deviation: a word seen once says little
+            hit, miss = count[1, k, some] + max(0.5 * share, 1e-3), count[0, k, some] + 0.5 * (1 - share)
+            odds = np.log(hit / (n[1] + 1 - hit).clip(0.5)) - np.log(miss / (n[0] + 1 - miss).clip(0.5))
+            self.weights[k, some] = np.tanh(odds / np.sqrt(1 / hit + 1 / miss) / 4)
 
     def inputs(self, grams: Grams) -> np.ndarray:
         """The inputs of distinct words: word, prefixes, mean and largest of the n-grams."""
@@ -236,13 +234,20 @@ class Network:
         for _ in range(max(epochs, -(-LEAST_STEPS // parts))):
             for part in np.array_split(rng.permutation(len(target)), parts):
                 step += 1
-                for name, g in self.gradients(words[:, part], table, target[part], weights[part]).items():
+                for name, g in self.gradients(*_used(words[:, part], table), target[part], weights[part]).items():
                     m[name] = 0.9 * m.get(name, 0) + 0.1 * g
                     v[name] = 0.999 * v.get(name, 0) + 0.001 * g * g
                     move = m[name] / (1 - 0.9**step) / (np.sqrt(v[name] / (1 - 0.999**step)) + 1e-8)
                     self.w[name] = (self.w[name] - rate * move).astype(np.float32)
 
 
+def _used(words: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same windows over a table of only the words that they hold."""
+    held, place = np.unique(words, return_inverse=True)
+    none = int(held[0] == -1)
+    return place.reshape(words.shape) - none, table[held[none:]]
+
+
 def windows(ids: np.ndarray) -> np.ndarray:
     """Word numbers of all windows (time, number) of one text, -1 beyond its end; at least one window."""
     n = max(1, -(-(len(ids) - (WINDOW - STEP)) // STEP))
@@ -275,25 +280,27 @@ class Toxicity:
     def _fit(self, texts: list[str], labels: np.ndarray) -> None:
         words, ids = _numbered(texts)
         grams = Grams(words)
-        held = Held([np.unique(x) for x in ids], grams)
         # a text's own words are no evidence about it: its inputs come from the other folds
         fold = np.arange(len(labels)) % self.FOLDS
+        count = count_buckets([np.unique(x) for x in ids], grams, labels, fold, self.FOLDS)
+        every = count.sum(axis=0, dtype=np.int32)
+        number = np.stack([np.bincount(labels[fold == f], minlength=2) for f in range(self.FOLDS)])
+        self.evidence = Evidence(every, number.sum(axis=0))
         table, shift, parts = [], np.zeros(len(labels), np.int64), []
-        counts = [held.counts(np.flatnonzero(fold == f), labels) for f in range(self.FOLDS)]
-        number = [np.bincount(labels[fold == f], minlength=2) for f in range(self.FOLDS)]
-        self.evidence = Evidence(sum(counts), sum(number))
         for f in range(self.FOLDS):
             shift[fold == f] = f * len(words)
-            table.append(Evidence(sum(counts) - counts[f], sum(number) - number[f]).inputs(grams))
-        del held, counts
+            table.append(Evidence(every - count[f], number.sum(axis=0) - number[f]).inputs(grams))
+        del count, every, grams
         table = np.concatenate(table)
         for i, x in enumerate(ids):
             parts.append(windows(x))
         where = np.repeat(np.arange(len(parts)), [p.shape[1] for p in parts])
-        words_of = np.concatenate(parts, axis=1)
-        words_of = np.where(words_of >= 0, words_of + shift[where], -1)
+        words_of = np.concatenate(parts, axis=1).astype(np.int32)
+        del parts
+        words_of = np.where(words_of >= 0, words_of + shift[where].astype(np.int32), np.int32(-1))
         clean = np.flatnonzero(labels[where] == 0)
-        evidence = np.concatenate([table.max(axis=1), [-1.0]])[words_of].max(axis=0)
+        best = np.concatenate([table.max(axis=1), np.float32([-1.0])])
+        evidence = np.max([best[row] for row in words_of], axis=0)
         self.network = Network(INPUTS, HIDDEN)
         rng = np.random.default_rng(3)
         value = evidence
@@ -306,14 +313,16 @@ class Toxicity:
             other = rng.permutation(clean)[: 4 * len(toxic)]
             chosen = np.concatenate([toxic, hard, other])
             self.network.train(words_of[:, chosen], table, labels[where[chosen]].astype(np.float32), EPOCHS, RATE / (1 + k))
-            value = self._logits(words_of, table)
+            value = self._logits(words_of, table, True)
         most = np.full(len(labels), -np.inf)
         np.maximum.at(most, where, value)
         self._calibrate(most, labels)
 
-    def _logits(self, words: np.ndarray, table: np.ndarray) -> np.ndarray:
+    def _logits(self, words: np.ndarray, table: np.ndarray, large: bool = False) -> np.ndarray:
+        """``large``: the table holds many more words than a part of the windows."""
         parts = np.array_split(np.arange(words.shape[1]), max(1, words.shape[1] * STEP // BATCH))
-        return np.concatenate([self.network.forward(words[:, p], table) for p in parts])
+        forward = self.network.forward
+        return np.concatenate([forward(*_used(words[:, p], table)) if large else forward(words[:, p], table) for p in parts])
 
     def _calibrate(self, logits: np.ndarray, labels: np.ndarray) -> None:
         """Logistic regression of the label on the largest logit."""
@@ -375,8 +384,18 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     chosen = known.groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(SAMPLE * 4 // 3)
     short = rows.where(F.octet_length("text") <= LONGEST)
     found = short.join(chosen, "id").groupBy("id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
-    sample = found.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
-    return Toxicity([r.text for r in sample], np.array([r.label for r in sample], dtype=int))
+    sample = found.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("text", "label")
+
+    def fit(batches):
+        texts, labels = [], []
+        for batch in batches:
+            texts += batch.column("text").to_pylist()
+            labels += batch.column("label").to_pylist()
+        yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(Toxicity(texts, np.array(labels, dtype=int)))]})
+
+    # the sample is bounded, so one task trains on it and the driver only passes the model on
+    models = sample.coalesce(1).mapInArrow(fit, "model binary").collect()
+    return pickle.loads(models[0].model) if models else Toxicity([], np.zeros(0, int))
 
 
 def toxicity(spark, model: Toxicity, text: Column | str) -> Column:
