@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import code_number
 from ..functions.dates import Day, within
@@ -245,10 +245,12 @@ def coverage_in_window(
         single, F.col("_code_number") == F.col("_number"), "left"
     )
     mapped = F.col("_mapped").isNotNull()
+    # whole units stay whole, fractions stay fractions
+    units_kind = "bigint" if isinstance(facts.schema[units].dataType, T.IntegralType) else "double"
 
     def total(column: str, condition: Column | None, name: str) -> Column:
         value = F.col(column) if condition is None else F.when(condition, F.col(column))
-        return F.coalesce(F.sum(value), F.lit(0)).cast("bigint").alias(name)
+        return F.coalesce(F.sum(value), F.lit(0)).cast("bigint" if column == "_rows" else units_kind).alias(name)
 
     return looked_up.agg(
         total("_rows", None, "n_rows"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -89,11 +90,13 @@ def _require_sections(document: T.StructType) -> None:
 
 def _require_lines(spark: SparkSession, where: str, rows: str, name: str) -> None:
     """Fields of a JSON Lines section: by its first records, by all of them only if a field is not among those."""
-    first = spark.read.text(where).limit(FIRST_RECORDS)
-    found = spark.read.json(first).schema
-    if first.isEmpty() or _fields(rows) <= set(found.names):
-        return
-    _require_fields(spark.read.json(where).schema, rows, name)
+    first = [row.value for row in spark.read.text(where).limit(FIRST_RECORDS).collect()]
+    try:
+        found = {key for line in first if line.strip() for key in json.loads(line)}
+    except ValueError:
+        return  # a malformed record fails the reader, which names it
+    if first and not _fields(rows) <= found:
+        _require_fields(spark.read.json(where).schema, rows, name)
 
 
 def read_erp(spark: SparkSession, path: str, layout: str = "document") -> Erp:
@@ -105,7 +108,7 @@ def read_erp(spark: SparkSession, path: str, layout: str = "document") -> Erp:
     (``layout="lines"``), both with one folder per section under ``path``.
     """
     if layout == "document":
-        _require_sections(spark.read.option("multiLine", True).json(path).schema)
+        _require_sections(spark.read.option("multiLine", True).option("mode", "FAILFAST").json(path).schema)
 
     def one(name: str) -> DataFrame:
         where, rows = ERP_SECTIONS[name]
