@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mostrador.functions import code_number, money_total
+from mostrador.functions import code_number, cost_total, lenient_integer, money_total, strict_integer, strict_number
 from mostrador.operators import (
     asof_join, calendar, consecutive_days, convert_currency, dense, matched_rows, matched_turnover,
     period_change, stock_by_pair, top_k,
@@ -14,7 +14,8 @@ from mostrador.operators import (
 from mostrador.operators import gates, profile, resolve
 from mostrador.operators.resolve import CodeSystem
 from mostrador.plans import channel_growth, inventory_turnover, negative_margin, star, stockout_runs
-from mostrador.plans.metrics import currency_gates, sales_cells
+from mostrador.plans.bridge import reconcile_orders
+from mostrador.plans.metrics import currency_gates, sales_cells, several_costs
 
 from . import roles
 from .roles import FIRST, LAST, Tables
@@ -109,6 +110,12 @@ def runs_enriched(t):
     return stockout_runs(roles.panel_model(t), "2024-01-01", "2024-12-31")
 
 
+@query
+def repeated_stock_days(t):
+    """Pairs with several readings on one day, whatever the readings are."""
+    return gates.duplicate_keys(roles.readings(t), ["store_id", "product_id", "date"])
+
+
 @query
 def order_day_runs(t):
     """Stretches of at least two consecutive days on which a customer ordered; several orders a day."""
@@ -131,6 +138,15 @@ def currency_normalize(t):
     )
 
 
+@query
+def precise_rates(t):
+    """Rates with twelve decimals, derived from the day; every sale converted with all of them."""
+    sales = roles.fx_sales(t).withColumn("sale_date", F.to_date("sold_at")).where("currency <> 'MXN'")
+    digits = F.dayofyear("rate_date").cast("bigint") * 712345678 + 1
+    rates = roles.fx_rates(t).withColumn("rate_to_mxn", digits.cast("double") / F.lit(1e12))
+    return convert_currency(sales, rates).select("transaction_id", F.col("amount_mxn").cast("double").alias("amount_mxn"))
+
+
 @query
 def sales_cell_totals(t):
     return sales_cells(roles.fx_sales(t)).withColumn("amount_native", F.col("amount_native").cast("double"))
@@ -146,8 +162,8 @@ def month_grid(t):
 
 
 @query
-def customer_change(t):
-    """Month-over-month change per region on its dense series."""
+def currency_change(t):
+    """Month-over-month change per currency on its dense series."""
     sales = roles.fx_sales(t).groupBy("currency", F.trunc("sold_at", "MM").alias("month")).agg(
         money_total("amount_native").cast("double").alias("amount")
     )
@@ -201,6 +217,23 @@ def negative_margin_pairs(t):
     return negative_margin(roles.margin_model(t), FIRST, LAST)
 
 
+@query
+def precise_costs(t):
+    """Unit costs with twelve decimals, derived from the part; totals with all of them."""
+    cost = (F.col("l_partkey").cast("bigint") * 1234567 + 7).cast("double") / F.lit(1e12)
+    lines = t.lineitem.select("l_partkey", F.col("l_quantity").cast("bigint").alias("quantity"), cost.alias("cost"))
+    return lines.groupBy("l_partkey").agg(cost_total(F.col("quantity"), F.col("cost")).cast("double").alias("cost"))
+
+
+@query
+def repeated_costs(t):
+    """Parts with several returned lines on one day, read as cost entries."""
+    entries = t.lineitem.where("l_returnflag = 'R'").select(
+        F.col("l_partkey").alias("product_id"), F.to_date("l_shipdate").alias("effective_date")
+    )
+    return several_costs(entries).violations
+
+
 @query
 def missing_cost_gate(t):
     sales = roles.ordered_sales(t).withColumn("sale_date", F.to_date("sold_at"))
@@ -308,6 +341,63 @@ def shared_code_gate(t):
     return gates.duplicate_keys(nations, ["target"])
 
 
+@query
+def shared_number_gate(t):
+    """Sizes that several parts share; a part without a handle has no number."""
+    numbered = resolve.numbered(roles.part_codes(t), "handle", SIZE_HANDLE)
+    return gates.duplicate_numbers(numbered, "product_number")
+
+
+@query
+def unresolvable_gate(t):
+    """Web codes that neither a mapping nor a number leads to a customer in debt."""
+    catalog = resolve.numbered(roles.code_catalog(t).join(
+        t.customer.where("c_acctbal < 0").select(F.col("c_name").alias("sku_erp")), "sku_erp", "left_semi"
+    ), "sku_erp", CUSTOMER_NAME)
+    seen = resolve.observed_codes(roles.code_events(t), "product_handle", "handle")
+    explicit = resolve.explicit_pairs(roles.code_mappings(t), WEB_SYSTEM, "sku_erp")
+    resolved = resolve.resolve_codes(seen, explicit, catalog, WEB_SYSTEM)
+    return resolve.resolution_gates(resolved, WEB_SYSTEM, "sku_erp")[0].violations
+
+
+@query
+def join_cardinality_gate(t):
+    """Codes that a bridge would repeat: the order code beside each of the customer's events."""
+    bridge = _bridge(t).join(t.events.select(F.col("user_id"), "event_type"), F.col("product_number") == F.col("user_id"))
+    return gates.duplicate_keys(bridge.where("sku_pos IS NOT NULL"), ["sku_pos"])
+
+
+@query
+def reconciled_orders(t):
+    """Web rows with the customer that their code leads to."""
+    rows = reconcile_orders(roles.code_events(t), _bridge(t), check=False)
+    return rows.groupBy("sku_erp").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_type").alias("n_types"))
+
+
+@query
+def strict_numbers(t):
+    """Quantities and prices as texts, read strictly."""
+    lines = t.lineitem.select(
+        "l_returnflag", F.col("l_quantity").cast("string").alias("units"), F.col("l_extendedprice").cast("string").alias("price"),
+        F.concat(F.lit("9007199254"), F.lpad(F.col("l_orderkey").cast("string"), 8, "0")).alias("long"),
+    )
+    return lines.groupBy("l_returnflag").agg(
+        F.sum(strict_integer(F.col("units"), "units")).alias("units"),
+        F.max(strict_number(F.col("price"), "price")).alias("highest"),
+        F.max(strict_integer(F.col("long"), "long")).alias("longest"),
+    )
+
+
+@query
+def lenient_stock(t):
+    """Texts that are no number are unknown, whole numbers keep all their digits."""
+    text = F.when(F.col("l_linenumber") == 1, F.lit("N/A")).when(F.col("l_linenumber") == 2, F.lit("")).otherwise(
+        F.concat(F.lit("90071992547"), F.lpad(F.col("l_partkey").cast("string"), 7, "0"))
+    )
+    lines = t.lineitem.select("l_linenumber", lenient_integer(text, "stock").alias("stock"))
+    return lines.groupBy("l_linenumber").agg(F.count("stock").alias("n_known"), F.max("stock").alias("highest"))
+
+
 # --- star schema -----------------------------------------------------------------------------
 
 
@@ -333,8 +423,18 @@ def unified_sales(t):
         F.lit("USD").alias("currency"),
         F.col("user_id").alias("sku_erp"),
     )
+    returned = t.lineitem.where("l_returnflag = 'R'").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_id"),
+        F.col("l_shipdate").cast("string").alias("fecha"),
+        F.lit("code").alias("product_handle"),
+        F.col("l_quantity").cast("int").alias("cantidad"),
+        F.col("l_extendedprice").alias("amount"),
+        F.lit("EUR").alias("currency"),
+        F.col("l_partkey").alias("sku_erp"),
+    )
+    purchases = purchases.withColumn("order_id", F.col("order_id").cast("string")).withColumn("fecha", F.col("fecha").cast("string"))
     return (
-        star.fact_sales(lines, purchases)
+        star.fact_sales(lines, purchases.unionByName(returned))
         .groupBy("channel", "currency", "document_type")
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
@@ -474,6 +574,12 @@ def set_compare(t):
     return profile.set_comparison(_parts_by_flag(t, "A"), "l_partkey", _parts_by_flag(t, "N"), "l_partkey")
 
 
+@query
+def sets_that_differ(t):
+    """Customers and event users: neither holds the other."""
+    return profile.set_comparison(t.customer.where("c_custkey % 3 > 0"), "c_custkey", t.events, "user_id")
+
+
 @query
 def set_difference(t):
     return profile.missing_from(t.customer, "c_custkey", t.events, "user_id")
@@ -495,6 +601,21 @@ def rule_agreement(t):
     )
 
 
+@query
+def three_way_agreement(t):
+    """Three codes from three columns, so that two of them may agree and the third not."""
+    parts = t.part.select(
+        F.col("p_brand").alias("sku_pos"),
+        F.concat(F.lit("SIZE_"), (F.col("p_size") % 7 + 10 * (F.col("p_partkey") % 5)).cast("string")).alias("sku_erp"),
+        F.concat(F.lit("h-"), F.lpad((F.col("p_partkey") % 50).cast("string"), 3, "0")).alias("handle"),
+    )
+    checks = {"pos-erp": (PART_POS, PART_ERP), "pos-web": (PART_POS, PART_WEB), "erp-web": (PART_ERP, PART_WEB),
+              "three-way": (PART_POS, PART_ERP, PART_WEB)}
+    return profile.union_all(
+        [profile.rule_agreement(parts, systems).withColumn("rule", F.lit(n)) for n, systems in checks.items()]
+    )
+
+
 @query
 def rule_mismatches(t):
     return profile.rule_mismatches(roles.part_codes(t), (PART_POS, PART_WEB))

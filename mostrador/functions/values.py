@@ -85,50 +85,55 @@ def exact(amount: Column) -> Column:
     return F.coalesce(held, F.when(amount.isNotNull(), _fail("amount", amount, f"a number of {MONEY_TOTAL}")))
 
 
-def micros(amount: Column | str) -> Column:
-    """An amount in whole millionths, as BIGINT; NULL where it has more decimals or does not fit."""
-    value = (F.col(amount) if isinstance(amount, str) else amount).cast("double")
+def _pieces(amount: Column) -> tuple[Column, Column]:
+    """An amount as whole millionths and the rest in units of 1e-18, both BIGINT; the rest is NULL where there is none."""
+    value = amount.cast("double")
     units = F.rint(value * F.lit(1e6)).try_cast("bigint")
-    return F.when(units.cast("double") / F.lit(1e6) == value, units)
+    whole = units.cast("double") / F.lit(1e6) == value
+    digits = exact(amount)
+    below = F.floor(digits * F.lit(1_000_000).cast("decimal(7,0)")).try_cast("bigint")
+    of_below = (below.cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(6,6)")).cast(MONEY_TOTAL)
+    rest = (digits - of_below).cast("decimal(18,18)") * F.lit(10**18).cast("decimal(19,0)")
+    return F.when(whole, units).otherwise(below), F.when(~F.coalesce(whole, F.lit(False)), rest.cast("bigint"))
 
 
-def exact_total(units: Column, rest: Column) -> Column:
-    """Exact total of amounts: millionths where they are whole, the amounts themselves (``rest``) elsewhere.
+def _exact_total(units: Column, rest: Column) -> Column:
+    """Exact total of amounts in pieces.
 
     Two BIGINT sums, of the high and of the low bits of the millionths, instead of a decimal sum: neither
-    overflows before 2^43 rows, and both run in generated code, several times faster than decimals. Only amounts
-    with more decimals are added as decimals.
+    overflows before 2^43 rows, and both run in generated code, several times faster than decimals. Only the rests
+    of amounts with more decimals are added as decimals.
     """
     high = F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(20,0)")
     low = F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1))).cast("decimal(20,0)")
     whole = high * F.lit(1 << LOW_BITS).cast("decimal(7,0)") + low
     millionths = (whole.cast("decimal(24,0)") * F.lit("0.000001").cast("decimal(6,6)")).cast(MONEY_TOTAL)
-    others = F.sum(rest).cast(MONEY_TOTAL)
-    none = F.lit(0).cast(MONEY_TOTAL)
-    both = F.coalesce(millionths, none) + F.coalesce(others, none)
-    return F.when(millionths.isNotNull() | others.isNotNull(), both.cast(MONEY_TOTAL))
+    fine = F.coalesce(F.sum(rest.cast("decimal(20,0)")), F.lit(0)).cast("decimal(20,0)")
+    return (millionths + (fine * F.lit("1e-18").cast("decimal(18,18)")).cast(MONEY_TOTAL)).cast(MONEY_TOTAL)
 
 
 def money_total(amount: Column | str) -> Column:
     """Exact total of an amount column."""
-    value = F.col(amount) if isinstance(amount, str) else amount
-    units = micros(value)
-    return exact_total(units, F.when(units.isNull(), exact(value)))
+    return _exact_total(*_pieces(F.col(amount) if isinstance(amount, str) else amount))
 
 
 def cost_total(quantity: Column, unit_cost: Column) -> Column:
-    """Exact total of quantity times unit cost; a unit cost with more than six decimals is multiplied as it is."""
-    units = micros(unit_cost)
-    product = exact(quantity.cast("double") * unit_cost.cast("double"))
-    return exact_total(quantity * units, F.when(units.isNull(), product))
+    """Exact total of quantity times unit cost, with all decimals of the unit cost."""
+    units, rest = _pieces(unit_cost)
+    return _exact_total(quantity * units, quantity * rest)
 
 
 def exact_product(amount: Column, factor: Column) -> Column:
-    """Amount times factor: in decimals where all digits fit, else the nearest double; never cut to a scale."""
+    """Amount times factor: in decimals where all digits fit, else the nearest double; never cut to the scale of money.
+
+    A product too large for the type fails the job.
+    """
     whole, short, narrow = exact(amount), "decimal(22,6)", "decimal(15,8)"
     a, b = whole.try_cast(short), factor.try_cast(narrow)
     fits = (a == whole) & (b.cast("double") == factor.cast("double"))
-    return F.coalesce(F.when(fits, (a * b).try_cast(MONEY_TOTAL)), exact(whole.cast("double") * factor.cast("double")))
+    product = whole.cast("double") * factor.cast("double")
+    large = F.when(product.isNotNull(), _fail("amount in the base currency", product, f"a number of {MONEY_TOTAL}"))
+    return F.coalesce(F.when(fits, (a * b).try_cast(MONEY_TOTAL)), product.try_cast(MONEY_TOTAL), large)
 
 
 def guarded_ratio(part: Column, whole: Column) -> Column:
