@@ -285,12 +285,15 @@ def longest_matches(
     rows = narrow(docs, id=id_column, text=text_column)
     for block_rows in benchmark_blocks(items, block=block):
         held = spark.sparkContext.broadcast(TestSuffixes(block_rows))
-
-        @F.pandas_udf("array<struct<doc_word:int,item:string,item_word:int,n_words:int>>")
-        def longest(texts: pd.Series, held=held) -> pd.Series:
-            names = ("doc_word", "item", "item_word", "n_words")
-            return pd.Series([[dict(zip(names, m)) for m in held.value.longest(t)] for t in texts])
-
-        found = rows.select(F.col("id").alias(id_column), F.inline(longest("text")))
+        found = rows.select(F.col("id").alias(id_column), F.inline(_longest(F.col("text"), held)))
         out = found if out is None else out.unionByName(found)
     return out
+
+
+def _longest(text: Column, held) -> Column:
+    @F.pandas_udf("array<struct<doc_word:int,item:string,item_word:int,n_words:int>>")
+    def longest(texts: pd.Series) -> pd.Series:
+        names = ("doc_word", "item", "item_word", "n_words")
+        return pd.Series([[dict(zip(names, m)) for m in held.value.longest(t)] for t in texts])
+
+    return longest(text)
