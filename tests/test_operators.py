@@ -103,8 +103,20 @@ def test_consecutive_days(frame, shortest):
     days = defaultdict(set)
     for k, d in rows:
         days[k].add(d)
+    rows += [("hot", None), ("hot", None), ("none", None)]  # rows without a day are in no run
     df = consecutive_days(frame("k STRING, d DATE", *rows), ["k"], "d", shortest, on_duplicate="merge")
     assert sorted(records(df, "k", "run_start", "run_end", "run_days")) == brute_runs(days, shortest)
+    # one row per day, some of which count
+    once = [(k, d, rng.random() < 0.7) for k, seen in days.items() for d in sorted(seen)]
+    counted = defaultdict(set)
+    for k, d, counts in once:
+        if counts:
+            counted[k].add(d)
+    once += [("hot", None, True), ("x", START, None)]
+    df = consecutive_days(frame("k STRING, d DATE, c BOOLEAN", *once), ["k"], "d", shortest, counts=F.col("c"))
+    assert sorted(records(df, "k", "run_start", "run_end", "run_days")) == brute_runs(counted, shortest)
+    # one shuffle, by the key
+    assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
 
 
 def test_consecutive_days_rejects_unknown_mode(frame):
@@ -136,13 +148,14 @@ def test_money_total_is_exact(frame):
         "small": [rng.randrange(-10**7, 10**7) / 100 for _ in range(3000)],
         "large": [rng.randrange(10**9) / 100 for _ in range(500)],
         "signs": [0.1, 0.2, -0.3, 1e-6],
+        "digits": [rng.randrange(-10**15, 10**15) / 10**12 for _ in range(300)] + [1e-18, -1e-18, 3.5e-17],
         "null": [None, None],
         "mixed": [None, 0.7],
     }
     rows = [(k, v) for k, values in groups.items() for v in values]
     df = frame("k STRING, v DOUBLE", *rows).repartition(7).groupBy("k").agg(money_total("v").alias("t"))
     expected = {
-        k: sum((Decimal(str(v)).quantize(Decimal("0.000001")) for v in values if v is not None), Decimal(0))
+        k: sum((Decimal(str(v)) for v in values if v is not None), Decimal(0))
         for k, values in groups.items()
     }
     expected["null"] = None
