@@ -107,9 +107,11 @@ def _exact_total(units: Column, rest: Column) -> Column:
     high = F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(20,0)")
     low = F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1))).cast("decimal(20,0)")
     whole = high * F.lit(1 << LOW_BITS).cast("decimal(7,0)") + low
-    millionths = (whole.cast("decimal(24,0)") * F.lit("0.000001").cast("decimal(6,6)")).cast(MONEY_TOTAL)
     fine = F.coalesce(F.sum(rest.cast("decimal(20,0)")), F.lit(0)).cast("decimal(20,0)")
-    return (millionths + (fine * F.lit("1e-18").cast("decimal(18,18)")).cast(MONEY_TOTAL)).cast(MONEY_TOTAL)
+    below = F.pmod(fine, F.lit(10**12).cast("decimal(13,0)")).cast("decimal(13,0)")  # 10^12 of them are a millionth
+    carried = (fine - below) * F.lit("0.000000000001").cast("decimal(12,12)")
+    millionths = (whole + carried).cast("decimal(24,0)") * F.lit("0.000001").cast("decimal(6,6)")
+    return (millionths.cast(MONEY_TOTAL) + (below * F.lit("1e-18").cast("decimal(18,18)")).cast(MONEY_TOTAL)).cast(MONEY_TOTAL)
 
 
 def money_total(amount: Column | str) -> Column:
