@@ -12,7 +12,9 @@ that are trained as toxic are those with the most evidence at first, then those
 
 from __future__ import annotations
 
+import hashlib
 import pickle
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -113,7 +115,7 @@ class Evidence:
     def __init__(self, count: np.ndarray, n: np.ndarray):
         """``count``: (label, kind, bucket); ``n``: texts of each label."""
         n, share = np.maximum(n, 1), n[1] / max(1, n.sum())
-        self.weights = np.zeros(count.shape[1:], np.float32)
+        self.weights = np.zeros(count.shape[1:], np.float16)
         for k in range(count.shape[1]):
             some = np.flatnonzero(count[:, k].any(axis=0))
             # log odds over their standard deviation: a word seen once says little
@@ -130,7 +132,7 @@ class Evidence:
         total, most, number = np.zeros(grams.n), np.zeros(grams.n, np.float32), np.zeros(grams.n)
         for owner, gram in zip(grams.owner, grams.grams):
             if len(owner):
-                value = self.weights[-1][gram]
+                value = self.weights[-1][gram].astype(np.float32)
                 begin = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
                 at = owner[begin]
                 total[at] += np.add.reduceat(value, begin)
@@ -377,6 +379,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
 
     At most ``SAMPLE`` of them, chosen by a hash, of at most ``LONGEST`` bytes. Null ids, texts and labels teach nothing.
     """
+    return _unpacked(_learn(docs, labels, id_column, text_column, label_column, folds, held))
+
+
+def _learn(docs, labels, id_column="doc_id", text_column="text", label_column="toxic", folds=3, held=1) -> bytes:
+    """The packed model: the driver passes it on without opening it."""
     rows = narrow(docs, id=id_column, text=text_column).where("id IS NOT NULL AND text IS NOT NULL")
     known = narrow(labels, id=id_column, label=label_column).where("id IS NOT NULL AND label IN (0, 1)")
     known = known.where(F.crc32(F.col("id").cast("string").cast("binary")) % folds != held)
@@ -391,19 +398,36 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
         for batch in batches:
             texts += batch.column("text").to_pylist()
             labels += batch.column("label").to_pylist()
-        yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(Toxicity(texts, np.array(labels, dtype=int)))]})
+        yield pa.RecordBatch.from_pydict({"model": [_packed(Toxicity(texts, np.array(labels, dtype=int)))]})
 
-    # the sample is bounded, so one task trains on it and the driver only passes the model on
+    # the sample is bounded, so one task trains on it
     models = sample.coalesce(1).mapInArrow(fit, "model binary").collect()
-    return pickle.loads(models[0].model) if models else Toxicity([], np.zeros(0, int))
+    return bytes(models[0].model) if models else _packed(Toxicity([], np.zeros(0, int)))
+
+
+_models: dict[str, Toxicity] = {}
+
+
+def _packed(model: Toxicity) -> bytes:
+    return zlib.compress(pickle.dumps(model), 1)
+
+
+def _unpacked(packed: bytes) -> Toxicity:
+    """One per worker process."""
+    key = hashlib.md5(packed).hexdigest()
+    if key not in _models:
+        _models.clear()
+        _models[key] = pickle.loads(zlib.decompress(packed))
+    return _models[key]
 
 
-def toxicity(spark, model: Toxicity, text: Column | str) -> Column:
-    held = spark.sparkContext.broadcast(model)
+def toxicity(spark, packed: bytes, text: Column | str) -> Column:
+    """Score of a text column by a packed model."""
+    held = spark.sparkContext.broadcast(packed)
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(held.value.scores(texts), dtype="float64")
+        return pd.Series(_unpacked(held.value).scores(texts), dtype="float64")
 
     return score(text)
 
@@ -414,7 +438,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
     A text without words has the share of toxic labels as its score, and so has every text if there are not labels of both
     kinds to learn from (0 without any). Rows that repeat score alike; no rows give no rows; other columns are ignored.
     """
-    model = learn(docs, labels, id_column, text_column, label_column)
+    model = _learn(docs, labels, id_column, text_column, label_column)
     rows = narrow(docs, id=id_column, text=text_column)
     held_out = F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
     rows = rows.select(F.col("id").alias(id_column), held_out.alias("held_out"), toxicity(docs.sparkSession, model, "text").alias("score"))
@@ -424,6 +448,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
 def remove_toxic(docs: DataFrame, labels: DataFrame, text_column: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose score is below the threshold."""
     name = fresh(docs, "toxicity")
-    model = learn(docs, labels, text_column=text_column)
+    model = _learn(docs, labels, text_column=text_column)
     out = docs.withColumn(name, toxicity(docs.sparkSession, model, F.col(f"`{text_column}`")))
     return out.where(F.col(name) < threshold).select(*(F.col(f"`{c}`") for c in docs.columns))
