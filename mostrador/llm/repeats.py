@@ -17,9 +17,9 @@ order are the column's Burrows-Wheeler transform) and updates the common prefixe
 Neighbours with a common prefix of ``LENGTH`` are equal windows; all but the earliest go. A round needs only the arrays of
 the round before it, and there are at most ``2 * LENGTH - GRAM`` rounds whatever the length of the documents.
 
-Collections are dealt by anchor in bounded shards. An anchor with more than ``HOT`` different stretches, like a line that
-a third of all documents hold, is settled window by window instead, by a minimum over places per window, so
-that no task has to hold it.
+Collections are dealt by anchor in bounded shards. An anchor with more different stretches than an even share of a
+partition, like a line that a third of all documents hold, is settled window by window instead, by a minimum over
+places per window, so that no task has to hold it.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,11 +37,11 @@ from mostrador.session import settle
 
 from .common import encoded, narrow
 
-LENGTH, GRAM = 100, 24
-#: Different stretches of an anchor that are compared in one collection.
-HOT = 2048
+LENGTH, GRAM = 100, 32
+#: Different stretches of an anchor that are compared in one collection: an even share of a shuffle partition, within bounds.
+HOT_LEAST, HOT_MOST = 1024, 1 << 16
 #: Bytes that are scanned at once, and strings that are built into one collection.
-SLICE, SHARD = 1 << 20, 1 << 15
+SLICE, SHARD = 1 << 18, 1 << 15
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _P = 0x5851F42D4C957F2D
@@ -57,8 +58,8 @@ _BYTES = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
 class Hashes:
     """Hashes of any stretch of some bytes, by running sums of the bytes times powers of an odd number."""
 
-    power = np.cumprod(np.full(SLICE + LENGTH, _P, np.uint64))
-    inverse = np.cumprod(np.full(SLICE + LENGTH + 1, pow(_P, -1, 1 << 64), np.uint64))
+    power = np.cumprod(np.full(2 * SLICE + 2 * LENGTH, _P, np.uint64))
+    inverse = np.cumprod(np.full(2 * SLICE + 2 * LENGTH + 1, pow(_P, -1, 1 << 64), np.uint64))
 
     def __init__(self, data: np.ndarray):
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * self.power[: len(data)])])
@@ -76,31 +77,65 @@ def _smallest(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def stretches(data: bytes, length: int = LENGTH, gram: int = GRAM):
-    """(start, windows, anchor's place from the start, anchor's hash, hash of the stretch) of a document's stretches."""
-    width, parts = length - gram + 1, []
-    for first in range(0, len(data) - length + 1, SLICE):
-        part = np.frombuffer(data, np.uint8, min(len(data) - first, SLICE + length - 1), first)
-        hashes = Hashes(part)
-        at = np.arange(len(part) - gram + 1)
-        of_gram = hashes.of(at, at + gram)
-        # the place in the low bits: of equal hashes the leftmost is the smallest
-        order = (of_gram & ~np.uint64((1 << 21) - 1)) | at.astype(np.uint64)
-        anchor = (_smallest(order, width) & np.uint64((1 << 21) - 1)).astype(np.int64)
-        begin = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-        windows = np.diff(np.concatenate([begin, [len(anchor)]]))
-        place = anchor[begin] - begin
-        whole = hashes.of(begin, begin + windows + length - 1) + (windows * 256 + place).astype(np.uint64)
-        parts.append((begin + first, windows, place, of_gram[anchor[begin]].view(np.int64), whole.view(np.int64)))
-    return tuple(np.concatenate(x) for x in zip(*parts)) if parts else tuple(np.zeros(0, np.int64) for _ in range(5))
+def _segments(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
+    """(text, place in it, bytes) in groups of about ``SLICE`` bytes; segments of a text overlap by all but one byte of
+    ``length``, so that each window lies in one of them."""
+    group, size = [], 0
+    for i, data in enumerate(texts):
+        for first in range(0, len(data) - length + 1, SLICE):
+            group.append((i, first, data[first : first + SLICE + length - 1]))
+            size += len(group[-1][2])
+            if size >= SLICE:
+                yield group
+                group, size = [], 0
+    if group:
+        yield group
+
+
+def _scan(group: list[tuple[int, int, bytes]], length: int, gram: int) -> tuple[np.ndarray, ...]:
+    flat = np.frombuffer(b"".join(data for _, _, data in group), np.uint8)
+    sizes = np.fromiter((len(data) for _, _, data in group), np.int64, len(group))
+    ends = np.cumsum(sizes)
+    hashes = Hashes(flat)
+    at = np.arange(len(flat) - gram + 1)
+    of_gram = hashes.of(at, at + gram)
+    # the place in the low bits: of equal hashes the leftmost is the smallest
+    low = np.uint64((1 << 21) - 1)
+    anchor = (_smallest((of_gram & ~low) | at.astype(np.uint64), length - gram + 1) & low).astype(np.int64)
+    whole_window = np.ones(len(anchor) + 1, bool)
+    for end in ends[:-1]:  # windows that go on into the next segment
+        whole_window[max(0, end - length + 1) : end] = False
+    whole_window[-1] = False
+    new = np.concatenate([[True], anchor[1:] != anchor[:-1], [True]])
+    new[1:] |= whole_window[1:] != whole_window[:-1]
+    edge = np.flatnonzero(new)
+    begin, end = edge[:-1], edge[1:]
+    begin, end = begin[whole_window[begin]], end[whole_window[begin]]
+    windows, place = end - begin, anchor[begin] - begin
+    whole = hashes.of(begin, end + length - 1) + (windows * 256 + place).astype(np.uint64)
+    of = np.searchsorted(ends, begin, "right")
+    text = np.fromiter((i for i, _, _ in group), np.int64, len(group))[of]
+    shift = np.fromiter((first for _, first, _ in group), np.int64, len(group)) - (ends - sizes)
+    return text, begin + shift[of], windows, place, of_gram[anchor[begin]].view(np.int64), whole.view(np.int64)
+
+
+def stretches(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """(text, start, windows, anchor's place from the start, anchor's hash, hash of the stretch) of the stretches of texts."""
+    parts = [_scan(group, length, gram) for group in _segments(texts, length)]
+    return tuple(np.concatenate(x) for x in zip(*parts)) if parts else tuple(np.zeros(0, np.int64) for _ in range(6))
 
 
 def _own(found) -> np.ndarray:
-    """Which stretches are the first of their kind in the document."""
-    _, _, _, anchor, whole = found
-    _, first = np.unique(np.stack([anchor, whole]), axis=1, return_index=True) if len(anchor) else (None, [])
-    out = np.zeros(len(anchor), bool)
-    out[first] = True
+    """Which stretches are the first of their kind in their text."""
+    text, _, _, _, anchor, whole = found
+    order = np.lexsort((whole, anchor, text))  # stable: of equal ones the first stays first
+    again = np.ones(len(order), bool)
+    if len(order):
+        again[0] = False
+        for x in (text, anchor, whole):
+            again[1:] &= x[order[1:]] == x[order[:-1]]
+    out = np.zeros(len(order), bool)
+    out[order[~again]] = True
     return out
 
 
@@ -113,30 +148,29 @@ def _unpack(packed):
     return packed >> 16, (packed >> 8) & 0xFF, packed & 0xFF
 
 
+def _texts(batch: pa.RecordBatch) -> list[bytes]:
+    return [encoded(text) for text in batch.column("text").to_pylist()]
+
+
 def _scan_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        parts = [np.zeros(0, np.int64)]
-        for text in batch.column("text"):
-            found = stretches(encoded(text.as_py()))
-            parts.append(found[3][_own(found)])
-        yield pa.RecordBatch.from_pydict({"anchor": np.concatenate(parts)})
+        found = stretches(_texts(batch))
+        yield pa.RecordBatch.from_pydict({"anchor": found[4][_own(found)]})
 
 
 def _scan_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        owner, parts = [], []
-        for i, text in enumerate(batch.column("text")):
-            found = stretches(encoded(text.as_py()))
-            start, windows, place, anchor, whole = (x[_own(found)] for x in found)
-            owner.append(np.full(len(start), i))
-            parts.append((anchor, whole, _pack(start, windows, place)))
-        if parts:
-            owner = pa.array(np.concatenate(owner))
-            anchor, whole, packed = (np.concatenate(x) for x in zip(*parts))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor), pa.array(whole), batch.column("id").take(owner), batch.column("tie").take(owner), pa.array(packed)],
-                ["anchor", "whole", "id", "tie", "packed"],
-            )
+        found = stretches(_texts(batch))
+        own = _own(found)
+        text, start, windows, place, anchor, whole = (x[own] for x in found)
+        owner = pa.array(text)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(anchor), pa.array(whole), batch.column("id").take(owner), batch.column("tie").take(owner),
+                pa.array(_pack(start, windows, place)),
+            ],
+            ["anchor", "whole", "id", "tie", "packed"],
+        )
 
 
 def _cut_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +237,8 @@ def later_windows(strings: list[bytes], place: np.ndarray, length: int = LENGTH)
 
 def _collection(rows: pa.Table) -> pa.RecordBatch | None:
     """Spans (start, end) of the windows in one shard's strings that also begin earlier."""
-    rows = rows.sort_by([("id", "ascending"), ("tie", "ascending"), ("packed", "ascending")])
+    keys = [(name, "ascending") for name in ("id", "tie", "packed")]
+    rows = rows.take(pc.sort_indices(rows, sort_keys=keys, null_placement="at_start"))  # as Spark orders them
     packed = rows.column("packed").to_numpy()
     start, windows, place = _unpack(packed)
     anchor = rows.column("anchor").to_numpy()
@@ -257,6 +292,25 @@ def _collections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out
 
 
+def _window_by_window(strings: DataFrame) -> DataFrame:
+    """Spans of the windows in the strings that also begin earlier, by the earliest place of each window."""
+    each = F.expr("sequence(0, cast((packed >> 8) & 255 as int) - 1)")
+    windows = strings.select(
+        "anchor", "id", "tie", F.shiftright("packed", 16).alias("from"), "string", F.explode(each).alias("k")
+    )
+    window = F.substring("string", F.col("k") + 1, F.lit(LENGTH))
+    windows = windows.select(
+        "anchor", F.xxhash64(window).alias("window"), F.crc32(window).alias("check"), "id", "tie",
+        (F.col("from") + F.col("k")).alias("start"),
+    )
+    windows, keys = settle(windows, "windows"), ["anchor", "window", "check"]
+    here = F.struct("id", "tie", "start")
+    earliest = windows.groupBy(*keys).agg(F.min(here).alias("first"))
+    return windows.join(earliest, keys).where(~F.col("first").eqNullSafe(here)).select(
+        "id", "tie", "start", (F.col("start") + LENGTH).alias("end")
+    )
+
+
 SPANS = "array<struct<start:bigint,end:bigint>>"
 
 
@@ -289,34 +343,23 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     # different stretches of one anchor: what has to be compared
     many = first.groupBy("anchor").count().where("count > 1")
-    wanted = first.join(many, "anchor").select("anchor", "first.*", (F.col("count") > HOT).alias("hot"))
-    wanted = settle(wanted, "wanted")
+    wanted = settle(first.join(many, "anchor").select("anchor", "first.*", "count"), "wanted")
+    share = wanted.count() // int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    is_hot = F.col("count") > min(max(share, HOT_LEAST), HOT_MOST)
     lists = wanted.groupBy("id", "tie").agg(F.collect_list(F.struct("anchor", "packed")).alias("wanted"))
     lists = lists.select(F.col("id").alias("of"), F.col("tie").alias("of_tie"), "wanted")
     listed = rows.join(lists, F.col("id").eqNullSafe(F.col("of")) & (F.col("tie") == F.col("of_tie")))
     strings = listed.select("id", "tie", "text", "wanted").mapInArrow(
         _cut_strings, f"anchor bigint, {place}, packed bigint, string binary"
     )
-    hot = wanted.where("hot").select("anchor").distinct()
+    hot = settle(wanted.where(is_hot).select("anchor").distinct(), "hot")
     strings = settle(strings, "strings")
-    cold = strings.join(hot, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
+    cold = strings if hot.isEmpty() else strings.join(hot, "anchor", "left_anti")
+    cold = cold.repartition("anchor").sortWithinPartitions("anchor")
     by_column = cold.mapInArrow(_collections, f"{place}, start bigint, end bigint")
-
-    each = F.expr("sequence(0, cast((packed >> 8) & 255 as int) - 1)")
-    single = strings.join(hot, "anchor", "left_semi").select("anchor", "id", "tie", begin.alias("from"), "string", F.explode(each).alias("k"))
-    window = F.substring("string", F.col("k") + 1, F.lit(LENGTH))
-    single = single.select(
-        "anchor", F.xxhash64(window).alias("window"), F.crc32(window).alias("check"), "id", "tie",
-        (F.col("from") + F.col("k")).alias("start"),
-    )
-    single = settle(single, "windows")
-    keys = ["anchor", "window", "check"]
-    earliest = single.groupBy(*keys).agg(F.min(F.struct("id", "tie", "start")).alias("first"))
-    by_window = single.join(earliest, keys).where(~F.col("first").eqNullSafe(F.struct("id", "tie", "start"))).select(
-        "id", "tie", "start", (F.col("start") + LENGTH).alias("end")
-    )
-
-    spans = as_a_whole.unionByName(by_column).unionByName(by_window)
+    spans = as_a_whole.unionByName(by_column)
+    if not hot.isEmpty():
+        spans = spans.unionByName(_window_by_window(strings.join(hot, "anchor", "left_semi")))
     spans = spans.groupBy("id", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     return rows, settle(spans, "spans")
 
@@ -332,20 +375,23 @@ def merged(spans: np.ndarray) -> np.ndarray:
     return np.stack([spans[begin, 0], reach[np.concatenate([begin[1:] - 1, [len(spans) - 1]])]], axis=1)
 
 
-def all_spans(data: bytes, others: list) -> np.ndarray:
-    """Spans to remove: ``others``, and stretches that are equal to an earlier one of the same document."""
-    found = stretches(data)
+def all_spans(texts: list[bytes], others: list[list]) -> list[np.ndarray]:
+    """Spans to remove from each text: ``others``, and stretches that are equal to an earlier one of the same text."""
+    found = stretches(texts)
     again = ~_own(found)
-    own = np.stack([found[0][again], found[0][again] + found[1][again] + LENGTH - 1], axis=1)
-    return merged(np.concatenate([own, np.array(others, np.int64).reshape(-1, 2)]))
+    text, start, windows = (x[again] for x in found[:3])
+    own = np.stack([start, start + windows + LENGTH - 1], axis=1)
+    order = np.argsort(text, kind="stable")
+    parts = np.split(own[order], np.searchsorted(text[order], np.arange(1, len(texts)))) if texts else []
+    return [merged(np.concatenate([part, np.array(more, np.int64).reshape(-1, 2)])) for part, more in zip(parts, others)]
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "spans": []}
-        for text, spans in zip(batch.column("text"), batch.column("spans")):
-            data = encoded(text.as_py())
-            found = all_spans(data, [(s["start"], s["end"]) for s in spans.as_py() or ()])
+        texts = _texts(batch)
+        others = [[(s["start"], s["end"]) for s in spans or ()] for spans in batch.column("spans").to_pylist()]
+        for data, found in zip(texts, all_spans(texts, others)):
             kept, at = hashlib.sha256(), 0
             for start, end in found.tolist():
                 kept.update(data[at:start])
