@@ -272,6 +272,32 @@ def test_languages(documents):
     assert {r.lang_pred for r in langid.identify(documents([(1, "abc", None, "s")])).collect()} == {"und"}
 
 
+def test_languages_of_many_ngrams(spark, documents, monkeypatch):
+    """Models too large for an executor have the same probabilities."""
+    rng = random.Random(8)
+    many = [(2000 + i, "".join(chr(rng.randint(0x4E00, 0x4E80)) for _ in range(40)) + "\U00020000 a", "zh", "s") for i in range(40)]
+    odd = [(1000, None, "aa", "s"), (1001, "123 !?", None, "s"), (None, many[0][1], "zh", "s"), (1002, many[1][1] * 30, None, "s")]
+    rows = languages() + many + odd
+    docs = documents(rows + rows[:2])
+    key = lambda r: (r.doc_id is None, r.doc_id or 0)
+    small = sorted(langid.identify(docs).collect(), key=key)
+    learned = docs.selectExpr("doc_id AS id", "lang", "text")
+    held = langid.learn(learned)
+    monkeypatch.setattr(langid, "TYPES", 100)
+    monkeypatch.setattr(langid, "FREQUENT", 16)
+    large = sorted(langid.identify(docs).collect(), key=key)
+    for a, b in zip(small, large, strict=True):
+        assert (a.doc_id, a.held_out, a.lang_pred, a.accepted) == (b.doc_id, b.held_out, b.lang_pred, b.accepted)
+        assert a.score == pytest.approx(b.score, rel=1e-9)
+    stored = langid.learn(learned)
+    assert stored.order == held.order == langid.ORDER and stored.languages == held.languages
+    grams = ["the ", "ing ", "kato", " zzz", "zzzz", many[0][1][:4], "a\u4e00 q", "\U00020000 a\U00020000"]
+    codes = np.array([[0 if c == " " else ord(c) for c in g] for g in grams])
+    expected = np.stack([m.log_probability(codes) for m in held.models], axis=1)
+    found = {r.gram: r.logs for r in stored.log_probabilities(spark.createDataFrame([(g,) for g in grams], "gram string")).collect()}
+    assert (np.array([found[g] for g in grams], np.float32) == expected).all()
+
+
 def test_kneser_ney_is_a_distribution():
     rng = np.random.default_rng(1)
     codes = rng.choice([0, 97, 98, 99], size=(400, 3), p=[0.2, 0.5, 0.2, 0.1])
