@@ -5,6 +5,9 @@ the page, sidebars, notices, adverts, forms, reader comments) are decided from t
 block by itself: many links make it bad, enough length with enough stop words make it good, and blocks too short to
 tell stay open, leaning by their stop words. In the second pass open blocks take the label of their nearest decided
 neighbours; between neighbours that differ they follow the lean, or the part of the page they stand in.
+
+What a part says is a claim: one that holds most of the page's prose is not believed, and a main part inside of one that is
+believed counts for itself. Only hidden parts are never read.
 """
 
 from __future__ import annotations
@@ -70,6 +73,18 @@ _GOOD_NAME = re.compile(
     r"story-?body|body-?text|text|prose)(?:$|[\s_-])",
     re.I,
 )
+# Words of parts that readers write, or that others pay for: these may well be long, and hold articles of their own.
+_FOREIGN_NAME = re.compile(
+    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|cookies?|consent|gdpr|comments?|commentlist|respond|"
+    r"replies|reply|disqus|discussion|reviews?)(?:$|[\s_-])",
+    re.I,
+)
+# Class words that tell the state of a page or part, not what it is.
+_STATE = re.compile(
+    r"(?<!\S)(?:(?:has|have|no|not|with|without)[_-]\S+|"
+    r"\S+[_-](?:fixed|sticky|enabled|disabled|open(?:ed)?|closed|visible|collapsed|expanded|on|off))(?!\S)",
+    re.I,
+)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
@@ -83,6 +98,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 _NOTICE = re.compile(r"(?:©|\(c\)|copyright\b|all rights reserved)", re.I)
 
 GOOD, BAD, OPEN = 1, -1, 0
+#: Why a part is bad: a part of the page that may hold others, one that readers or others write, one that is not shown.
+PART, FOREIGN, HIDDEN = 1, 2, 3
 
 
 class Block:
@@ -92,35 +109,52 @@ class Block:
         self.text, self.links, self.place, self.heading = text, links, place, heading
 
 
-def _place(tag: str, attributes: str, outer: int, inside_main: bool) -> int:
-    """What an element says about its content: GOOD, BAD, or what its parent says."""
-    if outer == BAD or tag in BAD_TAGS:
-        return BAD
-    if tag == "header":
-        return outer if inside_main else BAD
+def _said(tag: str, attributes: str, inside_main: bool) -> tuple[int, int]:
+    """What an element by itself says about its content, GOOD, BAD or nothing (OPEN), and why it is bad."""
+    named, names = False, ""
     if "=" in attributes or "hidden" in attributes.lower():
         if _HIDDEN_ATTRIBUTE.search(attributes):
-            return BAD
+            return BAD, HIDDEN
         values = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)}
         if _HIDDEN.search(values.get("style", "")) or values.get("aria-hidden", "").lower() == "true":
-            return BAD
+            return BAD, HIDDEN
         if tag not in ("html", "body") and tag not in GOOD_TAGS:
-            names = " ".join(_CAMEL.sub("-", values.get(k, "")) for k in ("class", "id", "role"))
-            if names.strip():
-                good, bad = _GOOD_NAME.search(names), _BAD_NAME.search(names)
-                if bad and not (good and good.end() > bad.end()):
-                    return BAD
-                if good:
-                    return GOOD
+            names = " ".join(_STATE.sub(" ", _CAMEL.sub("-", values.get(k, ""))) for k in ("class", "id", "role"))
+            named = bool(names.strip())
         elif tag in GOOD_TAGS and re.search(r"(?:^|[\s_-])comments?(?:$|[\s_-])", values.get("class", ""), re.I):
-            return BAD
-    return GOOD if tag in GOOD_TAGS else outer
+            return BAD, FOREIGN
+    if tag in BAD_TAGS or tag == "header":
+        if tag == "header" and inside_main:
+            return OPEN, 0
+        return BAD, FOREIGN if tag == "aside" or named and _FOREIGN_NAME.search(names) else PART
+    if named:
+        good, bad = _GOOD_NAME.search(names), _BAD_NAME.search(names)
+        if bad and not (good and good.end() > bad.end()):
+            return BAD, FOREIGN if _FOREIGN_NAME.search(names) else PART
+        if good:
+            return GOOD, 0
+    return (GOOD if tag in GOOD_TAGS else OPEN), 0
+
+
+class Claim:
+    """An element that says it is bad, and the blocks (first, and the one after the last) inside of it."""
 
+    __slots__ = ("number", "why", "first", "last")
 
-def blocks(page: str) -> list[Block]:
-    """The blocks of a page in order, with what the elements around them say."""
+    def __init__(self, number: int, why: int, first: int):
+        self.number, self.why, self.first, self.last = number, why, first, None
+
+
+def blocks(page: str, refused: frozenset = frozenset(), names: bool = False) -> tuple[list[Block], list[Claim]]:
+    """The blocks of a page in order, with what the elements around them say, and the elements that say they are bad.
+
+    Claims whose numbers are ``refused`` say nothing. A main element counts inside of a bad one, an article inside of one that
+    is a part of the page; with ``names`` everything that says it is good counts in everything that is not foreign.
+    """
     out: list[Block] = []
-    stack: list[tuple[str, int, bool]] = [("", OPEN, False)]  # element, what it says, inside of a main part
+    claims: list[Claim] = []
+    # element, what it and those around it say, inside of a main part, why it is bad, its claim
+    stack: list[tuple[str, int, bool, int, Claim | None]] = [("", OPEN, False, 0, None)]
     parts: list[str] = []
     links, in_link, heading, skip = 0, 0, False, 0
 
@@ -134,7 +168,9 @@ def blocks(page: str) -> list[Block]:
 
     def leave(depth: int) -> None:
         nonlocal in_link, heading, skip
-        for tag, _, _ in stack[depth:]:
+        for tag, _, _, _, claim in stack[depth:]:
+            if claim:
+                claim.last = len(out)
             in_link -= tag == "a"
             skip -= tag in DROPPED_TAGS
             if tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
@@ -167,7 +203,7 @@ def blocks(page: str) -> list[Block]:
             depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
             if block and not skip:
                 end_block()
-            if depth and (block or not any(t in SCOPES for t, _, _ in stack[depth + 1 :])):
+            if depth and (block or not any(t in SCOPES for t, *_ in stack[depth + 1 :])):
                 leave(depth)
             continue
         attributes = found[3] or ""
@@ -187,16 +223,67 @@ def blocks(page: str) -> list[Block]:
                     break
                 if stack[i][0] in SCOPES:
                     break
-        _, outer, main = stack[-1]
-        place = _place(tag, attributes, outer, main)
-        stack.append((tag, place, main or place == GOOD))
+        _, outer, main, why, _ = stack[-1]
+        place, reason, claim = outer, why, None
+        if why != HIDDEN:
+            said, cause = _said(tag, attributes, main)
+            if said == BAD and cause != HIDDEN:
+                claim = Claim(len(claims), cause, len(out))
+                claims.append(claim)
+                if claim.number in refused:
+                    said = OPEN
+            if said == BAD:
+                place, reason = BAD, max(why, cause)
+            elif said == GOOD and (
+                outer != BAD or not main and (tag == "main" or tag in GOOD_TAGS and why == PART or names and why == PART)
+            ):
+                place, reason = GOOD, 0
+        stack.append((tag, place, main or place == GOOD, reason, claim))
         in_link += tag == "a"
         skip += tag in DROPPED_TAGS
         if tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
             heading = True
     if not skip:
         end_block()
-    return out
+    for claim in claims:
+        claim.last = len(out) if claim.last is None else claim.last
+    return out, claims
+
+
+def _prose(block: Block) -> bool:
+    """Whether a block is good by itself, whatever the elements around it say."""
+    return first_pass(Block(block.text, block.links, OPEN, block.heading))[0] == GOOD
+
+
+def believed(page: str) -> list[Block]:
+    """The blocks of a page, where parts that hold most of its prose are not bad for what they say."""
+    found, claims = blocks(page)
+    if not claims:
+        return found
+    sizes = [len(b.text) if _prose(b) else 0 for b in found]
+    upto = [0]
+    for size in sizes:
+        upto.append(upto[-1] + size)
+    # each of them lies in the one before
+    heavy = [c for c in claims if 2 * (upto[c.last] - upto[c.first]) > upto[-1]]
+    if heavy:
+        found, _ = blocks(page, frozenset(c.number for c in heavy))
+        # prose of a main part outside is where the text is; for what others write, so is any main part or prose outside
+        kept = len(heavy)
+        for k, claim in enumerate(heavy):
+            outside = zip(found[: claim.first] + found[claim.last :], sizes[: claim.first] + sizes[claim.last :])
+            foreign = claim.why == FOREIGN
+            if any(b.place == GOOD and (size or foreign) or foreign and size and b.place != BAD for b, size in outside):
+                kept = k
+                break
+        refused = frozenset(c.number for c in heavy[:kept])
+        if kept < len(heavy):
+            found, _ = blocks(page, refused)
+    else:
+        refused = frozenset()
+    if upto[-1] and not any(size and b.place != BAD for b, size in zip(found, sizes)):
+        found, _ = blocks(page, refused, True)
+    return found
 
 
 def first_pass(block: Block) -> tuple[int, int]:
@@ -253,7 +340,7 @@ def second_pass(found: list[Block]) -> list[bool]:
 
 def main_text(page: str | None) -> str:
     """Blocks of main text, joined by newlines; empty if there are none."""
-    found = blocks(page or "")
+    found = believed(page or "")
     # a declared main part is where the text is, unless it holds none of it
     if any(b.place == GOOD for b in found):
         own = [b.place == GOOD for b in found]

@@ -231,6 +231,31 @@ def test_odd_pages(page):
     assert isinstance(html_text.main_text(page), str)
 
 
+@pytest.mark.parametrize(
+    "outer",
+    [
+        '<div class="content has-sidebar">{}</div>', '<div id="page" class="header-fixed">{}</div>', "<form>{}</form>",
+        '<div class="comments-closed sidebar">{}</div>', '<div class="header"><div id="menu">{}</div></div>', "<aside><form>{}</form></aside>",
+    ],
+)
+@pytest.mark.parametrize("inner", ["<p>{0}</p><p>{0}</p>", "<main><p>{0}</p><p>{0}</p></main>", '<div class="post"><p>{0}</p><p>{0}</p></div>'])
+def test_html_in_bad_wrappers(outer, inner):
+    """A wrapper's name or tag does not lose the page inside of it, nor save what is bad in there."""
+    bad = '<nav><a href="/">Home</a></nav><div class="advert"><p>{0}</p></div><div class="footer">Imprint</div>'
+    page = "<html><body>" + outer.format((inner + bad).format(LONG)) + "</body></html>"
+    assert html_text.main_text(page).split("\n") == [LONG, LONG]
+
+
+def test_html_parts_that_stay_bad():
+    comments = '<section id="comments">' + f"<article><p>{LONG}</p></article>" * 5 + "</section>"
+    side = '<div class="sidebar"><div class="text">' + f"<p>{LONG}</p>" * 3 + "</div></div>"
+    hidden = '<div style="display:none"><main>' + f"<p>{LONG}</p>" * 9 + "</main></div>"
+    assert html_text.main_text(f"<div><p>{LONG}</p></div>{comments}{hidden}") == LONG
+    assert html_text.main_text(f'<div class="advert">{LONG}</div><article><h1>Title</h1></article>') == "Title"
+    assert html_text.main_text(f"<article><p>{LONG}</p></article>{side}") == LONG
+    assert html_text.main_text(f'<div class="header"><article><p>{LONG}</p></article></div>{comments}') == LONG
+
+
 def test_html_rows(spark):
     deep = "<div>" * 3000 + f"<p>{LONG}</p>"
     many = "<article>" + f"<p>{LONG}</p>" * 3000 + "</article>"
