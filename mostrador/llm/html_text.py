@@ -50,6 +50,8 @@ VOID_TAGS = frozenset("area base br col embed frame hr img input link meta param
 #: Elements without text of the page; raw ones end only at their own end tag.
 RAW_TAGS = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg math".split())
 DROPPED_TAGS = RAW_TAGS | frozenset("head button select option optgroup object audio video canvas dialog datalist".split())
+#: What may stand in a head; anything else ends it, as text does.
+HEAD_TAGS = frozenset("head html base basefont bgsound link meta title style script noscript noframes template".split())
 BAD_TAGS = frozenset("nav footer aside form menu search".split())
 GOOD_TAGS = frozenset("article main".split())
 #: Elements that end when one of the same kind begins in the same parent.
@@ -182,6 +184,8 @@ def blocks(page: str, refused: frozenset = frozenset(), names: bool = False) ->
         begin = page.find("<", at)
         found = _TOKEN.match(page, begin) if begin >= 0 else None
         stop = end if begin < 0 else begin if found else begin + 1
+        if stack[-1][0] == "head" and stop > at and not page[at:stop].isspace():
+            leave(len(stack) - 1)
         if stop > at and not skip:
             piece = page[at:stop]
             parts.append(piece)
@@ -207,6 +211,8 @@ def blocks(page: str, refused: frozenset = frozenset(), names: bool = False) ->
                 leave(depth)
             continue
         attributes = found[3] or ""
+        if stack[-1][0] == "head" and tag not in HEAD_TAGS:
+            leave(len(stack) - 1)
         if block and not skip:
             end_block()
         if tag in VOID_TAGS or attributes.rstrip().endswith("/") and tag not in BLOCK_TAGS and tag not in RAW_TAGS:

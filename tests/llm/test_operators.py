@@ -256,6 +256,18 @@ def test_html_parts_that_stay_bad():
     assert html_text.main_text(f'<div class="header"><article><p>{LONG}</p></article></div>{comments}') == LONG
 
 
+@pytest.mark.parametrize(
+    "start",
+    [
+        "<html><head><title>x</title><body>", "<html><head><title>x</title><meta charset=utf-8><style>p{{}}</style>",
+        "<head>\n<script>var a = '<p>';</script>\n", "<html><head></head><body>",
+    ],
+)
+@pytest.mark.parametrize("text", ["<p>{0}</p><p>{0}</p>", "{0}<p>{0}</p>", "<main><p>{0}<p>{0}</main>"])
+def test_html_heads_without_end(start, text):
+    assert html_text.main_text(start.format() + text.format(LONG)).split("\n") == [LONG, LONG]
+
+
 def test_html_rows(spark):
     deep = "<div>" * 3000 + f"<p>{LONG}</p>"
     many = "<article>" + f"<p>{LONG}</p>" * 3000 + "</article>"
