@@ -3,7 +3,8 @@
 Vectors are cut in halves; a codebook for each half, fitted on a bounded sample, makes the grid of cells that indexes every
 vector. From a vector the cells are visited in the order of their distance: the sums of the two halves' distances, of
 which a multi-sequence traversal always takes the smallest next. It ends at the number of cells that reaches the target
-recall for pairs right at the similarity bound, found on the sample. Vectors met in the visited cells are verified in double
+recall both for made pairs right at the similarity bound, in random directions, and for the real pairs near the bound of some
+vectors of the sample, which are compared with all vectors. Vectors met in the visited cells are verified in double
 precision.
 
 Only vectors of one label are compared. Equal vectors are one entry. Cells are dealt in blocks of about ``BLOCK`` vectors, and blocks of
@@ -29,6 +30,8 @@ from .components import components
 SIMILARITY = 0.93
 #: Vectors that the codebooks and the number of visited cells are fitted on, at most.
 SAMPLE = 8192
+#: Vectors of the sample whose real pairs are found.
+QUERIES = 256
 #: Share of pairs at the similarity bound whose cells are visited from each side.
 RECALL = 0.99
 #: Vectors of a block; vectors for each cell of the grid; most codewords of a half.
@@ -75,6 +78,24 @@ class MultiIndex:
             rank = (order == self.cells(partner)[:, None]).argmax(axis=1)
             self.visits = int(np.quantile(rank, RECALL)) + 1
 
+    def ranks(self, queries: np.ndarray, vectors: np.ndarray, alike: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+        """For each pair of a query and a vector that are ``alike`` and near the bound, how many cells come before the vector's."""
+        cosine = queries @ vectors.T
+        query, vector = np.nonzero(alike & (cosine >= similarity) & (cosine <= (1 + similarity) / 2))
+        cells, out = self.cells(vectors), [np.zeros(0, np.int64)]
+        a, b = (_distances(h, w) for h, w in zip(_halves(queries), self.books))
+        for q in np.unique(query):
+            sums = (a[q][:, None] + b[q]).ravel()
+            out.append(np.searchsorted(np.sort(sums), sums[cells[vector[query == q]]]))
+        return np.concatenate(out)
+
+    def fit_visits(self, ranks: np.ndarray, counts: np.ndarray) -> None:
+        """Visit at least as many cells as ``RECALL`` of the pairs need."""
+        if len(ranks):
+            order = np.argsort(ranks)
+            enough = np.searchsorted(np.cumsum(counts[order]), RECALL * counts.sum())
+            self.visits = max(self.visits, int(ranks[order][min(enough, len(ranks) - 1)]) + 1)
+
     def prepared(self, vectors: list) -> np.ndarray:
         """Unit vectors, with zeros up to the common width."""
         out = np.zeros((len(vectors), self.width))
@@ -106,6 +127,27 @@ class MultiIndex:
         return out
 
 
+def _real_ranks(entries: DataFrame, index: MultiIndex, queries: list, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks of the real pairs of ``queries`` (rows of label, dim, embedding) with all entries, and how many have each."""
+    labels = np.array([q.label for q in queries], object)
+    dims = np.array([q.dim for q in queries])
+    held = entries.sparkSession.sparkContext.broadcast((index, index.prepared([q.embedding for q in queries]), labels, dims))
+
+    def find(batches):
+        index, x, labels, dims = held.value
+        for batch in batches:
+            for start in range(0, len(batch), 4096):
+                part = batch.iloc[start : start + 4096]
+                alike = labels[:, None] == part["label"].to_numpy(object)[None, :]
+                alike = alike.astype(bool) & (dims[:, None] == part["dim"].to_numpy()[None, :])
+                ranks, n = np.unique(index.ranks(x, index.prepared(part["embedding"].tolist()), alike, similarity), return_counts=True)
+                yield pd.DataFrame({"rank": ranks, "n": n})
+
+    found = entries.select("label", "dim", "embedding").mapInPandas(find, "rank bigint, n bigint")
+    found = found.groupBy("rank").agg(F.sum("n").alias("n")).collect()  # at most one row for each cell of the grid
+    return np.array([r.rank for r in found], np.int64), np.array([r.n for r in found], np.int64)
+
+
 def _indexed(entries: DataFrame, index: MultiIndex) -> DataFrame:
     held = entries.sparkSession.sparkContext.broadcast(index)
 
@@ -191,12 +233,15 @@ def link_entries(entries: DataFrame, similarity: float = SIMILARITY) -> DataFram
     total, width = entries.agg(F.count(F.lit(1)), F.max("dim")).first()
     if not total:
         return entries.sparkSession.createDataFrame([], "a bigint, b bigint, links bigint")
-    sample = [r[0] for r in entries.orderBy(F.xxhash64("entry"), "entry").limit(SAMPLE).select("embedding").collect()]
+    chosen = entries.orderBy(F.xxhash64("embedding"), "entry").limit(SAMPLE).select("label", "dim", "embedding").collect()
+    sample = [r.embedding for r in chosen]
     x = np.zeros((len(sample), max(2, width)))
     for i, v in enumerate(sample):
         x[i, : len(v)] = v
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    placed = settle(_indexed(entries, MultiIndex(x, total, similarity)), "cells")
+    index = MultiIndex(x, total, similarity)
+    index.fit_visits(*_real_ranks(entries, index, chosen[:QUERIES], similarity))
+    placed = settle(_indexed(entries, index), "cells")
     members = _blocks(placed, "cell", ["entry", "n", "embedding", "visits"], "members")
     visiting = placed.select("label", "dim", "entry", "n", "embedding", F.col("cell").alias("home"), F.explode("visits").alias("cell"))
     visitors = _blocks(

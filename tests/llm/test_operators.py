@@ -192,6 +192,20 @@ def test_embeddings(spark):
     assert out[None][1:] == (0, None, False)
 
 
+@pytest.mark.parametrize("width", [3, 64])
+def test_embeddings_in_few_dimensions(spark, monkeypatch, width):
+    """Vectors of a subspace keep their links on a grid of 32 x 32 cells."""
+    monkeypatch.setattr(embeddings, "PER_CELL", 2)
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(2000, width)) @ np.linalg.qr(rng.normal(size=(64, width)))[0].T
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    frame = spark.createDataFrame([(i, v.tolist(), i % 2) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>, label int")
+    links = x @ x.T >= 0.93
+    links &= (np.arange(2000)[:, None] % 2 == np.arange(2000) % 2) & ~np.eye(2000, dtype=bool)
+    found = sum(r.n_links for r in embeddings.near_duplicates(frame).collect())
+    assert 0.98 * links.sum() <= found <= links.sum()
+
+
 def test_no_embeddings(spark):
     assert embeddings.near_duplicates(vectors(spark, [])).count() == 0
     lone = embeddings.near_duplicates(vectors(spark, [(4, [1.0], 1, "", "", "")])).collect()
