@@ -120,3 +120,98 @@ def targets(sizes, weights=(5, 2, 1), most=3):
         if now == stopped:
             return {s: float(most * sizes[s]) if s in stopped else level * weight[s] for s in sizes}
         stopped = now
+
+
+def vector_codes(rows, parts=8, entries=16, rounds=6):
+    """(code, error, label_error) by position, and the digest, of (id, label, vector) with vectors of equal length."""
+    kept = [(i, r) for i, r in enumerate(rows) if r[2] is not None and all(x is not None and math.isfinite(x) for x in r[2])]
+    if not kept:
+        return {}, ""
+    size = len(kept[0][1][2]) // parts
+    cut = {i: [[math.floor(4096 * x) for x in r[2][p * size : (p + 1) * size]] for p in range(parts)] for i, r in kept}
+    first = sorted(kept, key=lambda k: (k[1][0] is None, k[1][0] or 0, cut[k[0]]))[:entries]
+    books = [[list(cut[i][p]) for i, _ in first] for p in range(parts)]
+
+    def near(x, book):
+        return min((sum((a - b) ** 2 for a, b in zip(x, e)), k) for k, e in enumerate(book))
+
+    for _ in range(rounds):
+        for p, book in enumerate(books):
+            met = collections.defaultdict(list)
+            for i, _ in kept:
+                met[near(cut[i][p], book)[1]].append(cut[i][p])
+            for k, members in met.items():
+                book[k] = [sum(c) // len(members) for c in zip(*members)]
+    out, by_label = {}, collections.Counter()
+    for i, r in kept:
+        found = [near(cut[i][p], books[p]) for p in range(parts)]
+        out[i] = ("".join(f"{k:02x}" for _, k in found), sum(d for d, _ in found))
+        by_label[r[1]] += out[i][1]
+    digest = sha(",".join(str(c) for book in books for e in book for c in e))
+    return {i: (*v, by_label[rows[i][1]]) for i, v in out.items()}, digest
+
+
+def place(url):
+    """(host, path) of an address."""
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
+    return lowered, re.match(r"[^?#]*", rest[len(host) :])[0]
+
+
+def best_rule(url, rules):
+    host, path = place(url)
+    fit = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return max(fit, key=lambda r: (len(r.host + r.path), len(r.host)), default=None)
+
+
+def judge_urls(urls, links, rules):
+    """(host, path, rule, verdict) of addresses, with links between addresses in the form that is compared."""
+
+    def form(url):
+        return (url or "").split("#")[0]
+
+    nodes = {form(u) for u in urls if u} | {form(x) for link in links for x in link}
+    root = components(sorted(nodes), [(form(a), form(b)) for a, b in links])
+    said = collections.defaultdict(set)
+    for n in nodes:
+        if rule := best_rule(n, rules):
+            said[root[n]].add(rule.verdict)
+    out = []
+    for u in urls:
+        rule = best_rule(u, rules)
+        of_class = said[root[form(u)]] if u else set()
+        verdict = rule.verdict if rule else "block" if of_class == {"block"} else "allow"
+        out.append((*place(u), rule.name if rule else None, verdict))
+    return out
+
+
+def divergence(rows, least=3, top=200):
+    """The rows of the audit, of (text, lang, source)."""
+    letters = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
+    upper = {c: c + 32 for c in range(65, 91)}
+    docs = [(letters.findall((t or "").translate(upper)), la or "", s or "") for t, la, s in rows]
+    out = []
+    for lang in {la for _, la, _ in docs}:
+        held = collections.Counter(w for ws, la, _ in docs if la == lang for w in set(ws))
+        kept = sorted(w for w, n in held.items() if n >= least)
+        groups = {s: collections.Counter() for _, la, s in docs if la == lang}
+        for ws, la, s in docs:
+            if la == lang:
+                groups[s].update(w for w in ws if held[w] >= least)
+
+        def values(counts):
+            size = sum(counts.values()) + len(kept)
+            return [1 + 1_000_000_000 * (counts[w] + 1) // size for w in kept]
+
+        whole = values(sum(groups.values(), collections.Counter()))
+        p = {s: values(c) for s, c in groups.items()}
+        f = lambda a, b: (a - b) ** 2 // b
+        for s, counts in groups.items():
+            pairs = [(-sum(map(f, p[s], p[o])), o.encode(), "pair") for o in groups if o != s]
+            own = [(-f(a, b), w.encode(), "term") for w, a, b in zip(kept, p[s], whole) if counts[w] and a > b]
+            for listed in (sorted(pairs), sorted(own)[:top]):
+                out += [(lang, s, kind, item.decode(), -v, k) for k, (v, item, kind) in enumerate(listed, 1)]
+    return sorted(out)
