@@ -34,9 +34,10 @@ def _number(value: Column, is_text: bool) -> Column:
     """Double, NULL when unreadable or NaN; a letter suffix such as in ``5d`` is not a number."""
     parsed = value.try_cast("double")
     if is_text:
-        end = F.lower(F.rtrim(value))
-        suffixed = F.endswith(end, F.lit("d")) | (F.endswith(end, F.lit("f")) & ~F.endswith(end, F.lit("inf")))
-        parsed = F.when(~suffixed, parsed)
+        # a parse that fails costs as much as many that do not, so texts that cannot be a number are not tried
+        last = F.lower(F.right(F.rtrim(value), F.lit(1)))
+        suffixed = (last == "d") | ((last == "f") & ~F.endswith(F.lower(F.rtrim(value)), F.lit("inf")))
+        parsed = F.when(value.rlike("[0-9]|(?i:inf)") & ~suffixed, parsed)
     return F.nullif(parsed, F.lit(float("nan")))
 
 
@@ -55,14 +56,20 @@ def strict_number(value: Column, what: str, is_text: bool = True) -> Column:
 def _whole(value: Column, is_text: bool) -> Column:
     """BIGINT where the value is a whole number in range, else NULL.
 
-    Digits are read as they are; only what is no plain decimal number, such as ``1e3``, goes through DOUBLE.
+    A number is cast once and compared with itself. A text falls into one of three kinds, and each pays for its own only:
+    digits are cast; digits with a fraction of zeros, such as ``17.0``, are cast without it; anything else that holds a
+    digit, such as ``1e3``, is read as a number and has to equal its floor.
     """
-    plain = value.try_cast("bigint") if is_text else F.lit(None).cast("bigint")
+    plain = value.try_cast("bigint")
+    if not is_text:
+        return F.when(plain == value, plain)
+    bare = F.rtrim(value, F.lit("0"))
+    zeros = F.when(F.endswith(bare, F.lit(".")), F.left(bare, F.length(bare) - 1).try_cast("bigint"))
     number = _number(value, is_text)
     digits = F.when(number.isNotNull(), value.try_cast("decimal(38,10)"))
     whole = F.when((digits == F.floor(digits)) & (number == F.floor(number)), digits.try_cast("bigint"))
     as_double = F.when(digits.isNull() & (number == F.floor(number)), number.try_cast("bigint"))
-    return F.coalesce(plain, whole, as_double)
+    return F.coalesce(plain, zeros, F.when(value.rlike("[0-9]"), F.coalesce(whole, as_double)))
 
 
 def strict_integer(value: Column, what: str, is_text: bool = True) -> Column:
@@ -78,51 +85,76 @@ def lenient_integer(value: Column, what: str, is_text: bool = True) -> Column:
 
 
 def exact(amount: Column) -> Column:
-    """The decimal number that an amount is written as; the job fails on one that ``MONEY_TOTAL`` cannot hold."""
+    """The decimal number that an amount is written as; the job fails on one that ``MONEY_TOTAL`` cannot hold.
+
+    A double from 2^53 on is the whole number that it holds: how it is written depends on who writes it.
+    """
     value = amount.cast("double")
-    digits = amount.try_cast(MONEY_TOTAL)
+    large = F.typeof(amount).isin("double", "float") & (F.abs(value) >= F.lit(float(1 << 53)))
+    digits = F.when(large, value.try_cast("bigint").try_cast(MONEY_TOTAL)).otherwise(amount.try_cast(MONEY_TOTAL))
     held = F.when(digits.cast("double") == value, digits)
     return F.coalesce(held, F.when(amount.isNotNull(), _fail("amount", amount, f"a number of {MONEY_TOTAL}")))
 
 
-def _pieces(amount: Column) -> tuple[Column, Column]:
-    """An amount as whole millionths and the rest in units of 1e-18, both BIGINT; the rest is NULL where there is none."""
+def _split(amount: Column) -> tuple[Column, Column, Column]:
+    """An amount as millionths, or else as whole units and a rest in units of 1e-18, from 0 on; all BIGINT.
+
+    Nearly all amounts are whole millionths and go through DOUBLE alone. That is exact below 2^32, where neighbouring
+    doubles are less than a millionth apart; larger amounts and finer ones are read as decimals.
+    """
     value = amount.cast("double")
     units = F.rint(value * F.lit(1e6)).try_cast("bigint")
-    whole = units.cast("double") / F.lit(1e6) == value
+    short = F.coalesce((F.abs(value) < F.lit(float(1 << 32))) & (units.cast("double") / F.lit(1e6) == value), F.lit(False))
     digits = exact(amount)
-    below = F.floor(digits * F.lit(1_000_000).cast("decimal(7,0)")).try_cast("bigint")
-    of_below = (below.cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(6,6)")).cast(MONEY_TOTAL)
-    rest = (digits - of_below).cast("decimal(18,18)") * F.lit(10**18).cast("decimal(19,0)")
-    return F.when(whole, units).otherwise(below), F.when(~F.coalesce(whole, F.lit(False)), rest.cast("bigint"))
+    whole = F.floor(digits)
+    rest = (digits - whole).cast("decimal(18,18)") * F.lit(10**18).cast("decimal(19,0)")
+    return F.when(short, units), F.when(~short, whole.cast("bigint")), F.when(~short, rest.cast("bigint"))
+
+
+def _limbs(value: Column, bits: int) -> tuple[Column, Column]:
+    """Sums of the high and of the low bits of a BIGINT: neither overflows before 2^43 rows, or 2^31 with 32 low bits."""
+    return F.sum(F.shiftright(value, bits)), F.sum(value.bitwiseAND(F.lit((1 << bits) - 1)))
+
+
+def _joined(limbs: tuple[Column, Column], bits: int) -> Column:
+    high, low = (F.coalesce(x, F.lit(0)).cast("decimal(20,0)") for x in limbs)
+    return (high * F.lit(1 << bits).cast("decimal(10,0)") + low).cast("decimal(32,0)")
 
 
-def _exact_total(units: Column, rest: Column) -> Column:
-    """Exact total of amounts in pieces.
+def _exact_total(millionths: Column, whole: Column, rest: Column) -> Column:
+    """Exact total of amounts in pieces: NULL without amounts, a failed job where ``MONEY_TOTAL`` cannot hold it.
 
-    Two BIGINT sums, of the high and of the low bits of the millionths, instead of a decimal sum: neither
-    overflows before 2^43 rows, and both run in generated code, several times faster than decimals. Only the rests
-    of amounts with more decimals are added as decimals.
+    Every piece is added as BIGINT sums of its high and low bits, which run in generated code, several times faster than
+    decimals; decimals appear once per group, when the sums are put together.
     """
-    high = F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(20,0)")
-    low = F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1))).cast("decimal(20,0)")
-    whole = high * F.lit(1 << LOW_BITS).cast("decimal(7,0)") + low
-    fine = F.coalesce(F.sum(rest.cast("decimal(20,0)")), F.lit(0)).cast("decimal(20,0)")
-    below = F.pmod(fine, F.lit(10**12).cast("decimal(13,0)")).cast("decimal(13,0)")  # 10^12 of them are a millionth
-    carried = (fine - below) * F.lit("0.000000000001").cast("decimal(12,12)")
-    millionths = (whole + carried).cast("decimal(24,0)") * F.lit("0.000001").cast("decimal(6,6)")
-    return (millionths.cast(MONEY_TOTAL) + (below * F.lit("1e-18").cast("decimal(18,18)")).cast(MONEY_TOTAL)).cast(MONEY_TOTAL)
+    small, large, fine = (_limbs(millionths, LOW_BITS), _limbs(whole, LOW_BITS), _limbs(rest, 32))
+    in_millionths, below = _joined(small, LOW_BITS), _joined(fine, 32)
+    # 10^12 units of the rest are a millionth
+    carried = F.floor(below * F.lit("0.000000000001").cast("decimal(12,12)")).cast("decimal(26,0)")
+    left = (below - carried * F.lit(10**12).cast("decimal(13,0)")).cast("decimal(13,0)")
+    fraction = ((in_millionths + carried).cast("decimal(32,0)") * F.lit("0.000001").cast("decimal(6,6)")).cast(MONEY_TOTAL)
+    fraction = fraction + (left * F.lit("1e-18").cast("decimal(18,18)")).cast(MONEY_TOTAL)
+    total = (fraction.cast(MONEY_TOTAL) + _joined(large, LOW_BITS).cast(MONEY_TOTAL)).cast(MONEY_TOTAL)
+    return F.when(small[0].isNotNull() | large[0].isNotNull(), total)
 
 
 def money_total(amount: Column | str) -> Column:
     """Exact total of an amount column."""
-    return _exact_total(*_pieces(F.col(amount) if isinstance(amount, str) else amount))
+    return _exact_total(*_split(F.col(amount) if isinstance(amount, str) else amount))
 
 
 def cost_total(quantity: Column, unit_cost: Column) -> Column:
-    """Exact total of quantity times unit cost, with all decimals of the unit cost."""
-    units, rest = _pieces(unit_cost)
-    return _exact_total(quantity * units, quantity * rest)
+    """Exact total of quantity (BIGINT) times unit cost, with all decimals of the unit cost."""
+    millionths, whole, rest = _split(unit_cost)
+    product = F.try_multiply(quantity, millionths)
+    # where the millionths do not fit: whole units and rests of the same product
+    below = F.pmod(millionths, F.lit(10**6))
+    units = F.coalesce(whole, F.when(product.isNull(), ((millionths - below) / F.lit(1e6)).cast("bigint")))
+    parts = F.coalesce(rest, F.when(product.isNull(), below * F.lit(10**12)))
+    fine = quantity.cast("decimal(19,0)") * parts.cast("decimal(18,0)")
+    carried = F.floor(fine * F.lit("1e-18").cast("decimal(18,18)"))
+    left = (fine - carried * F.lit(10**18).cast("decimal(19,0)")).cast("bigint")
+    return _exact_total(product, quantity * units + carried.cast("bigint"), left)
 
 
 def exact_product(amount: Column, factor: Column) -> Column:

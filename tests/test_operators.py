@@ -3,14 +3,14 @@
 import datetime as dt
 import random
 from collections import defaultdict
-from decimal import Decimal
+from decimal import Context, Decimal, localcontext
 from statistics import median
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import day, records
-from mostrador.functions import as_date, money_total, within
+from mostrador.functions import as_date, cost_total, money_total, strict_integer, within
 from mostrador.operators import (
     asof_join, calendar, consecutive_days, convert_currency, dense, matched_rows, matched_turnover, members,
     period_change, top_k,
@@ -163,6 +163,78 @@ def test_money_total_is_exact(frame):
     assert dict(records(df, "k", "t")) == expected
 
 
+def written(rng, least=-18, most=17):
+    """An amount of any size that has at most 18 decimals as it is written."""
+    while True:
+        value = rng.choice((1, -1)) * round(rng.random(), rng.randint(1, 16)) * 10.0 ** rng.randint(least + 1, most)
+        if Decimal(repr(value)).as_tuple().exponent >= -18:
+            return value
+
+
+def exact_sum(values):
+    with localcontext(Context(prec=80)):
+        return sum(values, Decimal(0))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_totals_of_any_size(frame, seed):
+    rng = random.Random(seed)
+    groups = {f"g{k}": [written(rng) for _ in range(rng.choice((1, 2, 3, 500)))] for k in range(60)}
+    groups |= {
+        "apart": [9e16, 0.25], "one": [1e13], "minus": [-1e13], "cancel": [1e17, -1e17, 1e-18], "null": [None, None],
+        "edge": [4294967295.999999, 4294967296.000001, -4294967296.0, 8e12 + 0.1, 9223372036854.775, -9223372036854.776],
+    }
+    rows = [(k, v) for k, values in groups.items() for v in values]
+    df = frame("k STRING, v DOUBLE", *rows).repartition(5).groupBy("k").agg(money_total("v").alias("t"))
+    digits = lambda v: Decimal(int(v)) if abs(v) >= 2**53 else Decimal(repr(v))
+    expected = {k: exact_sum(digits(v) for v in values if v is not None) for k, values in groups.items()}
+    assert dict(records(df, "k", "t")) == expected | {"null": None}
+
+
+def test_totals_that_do_not_fit_fail(frame):
+    for values in ((9e17, 9e17), (1e18,), (-9e17, -2e17)):
+        with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|cannot read"):
+            frame("v DOUBLE", *[(v,) for v in values]).agg(money_total("v").alias("t")).collect()
+
+
+def test_cost_totals_of_any_size(frame):
+    rng = random.Random(2)
+    rows = [(f"g{k % 7}", rng.choice((1, -1)) * rng.randrange(10**9), written(rng, -18, 6)) for k in range(700)]
+    rows += [("big", 10**12 + 1, 4294967295.999999 / 10**5), ("big", 10**15 + 1, 12.345678), ("big", -3, 99999999999.25)]
+    rows += [("null", None, 1.0), ("null", 2, None), ("null", None, 1e-9)]
+    rows += [("large", 7, 12345678901234.5), ("large", -(2**40), 0.1)]
+    df = frame("k STRING, q BIGINT, c DOUBLE", *rows).repartition(5).groupBy("k").agg(cost_total(F.col("q"), F.col("c")).alias("t"))
+    products = defaultdict(list)
+    with localcontext(Context(prec=80)):
+        for k, q, c in rows:
+            products[k].append(None if q is None or c is None else q * Decimal(repr(c)))
+    expected = {k: exact_sum(v) for k, v in products.items() if k != "null"}
+    assert dict(records(df, "k", "t")) == expected | {"null": None}
+
+
+@pytest.mark.parametrize("kind", ["DOUBLE", "FLOAT", "DECIMAL(20,2)", "BIGINT", "INT"])
+def test_whole_numbers_that_are_no_texts(frame, kind):
+    df = frame("d STRING", ("17",), ("-3",), (None,), ("0",)).select(F.col("d").cast(kind).alias("d"))
+    assert records(df.select(strict_integer(F.col("d"), "d", False).alias("n")), "n") == [17, -3, None, 0]
+
+
+def test_kinds_of_whole_texts(frame):
+    texts = {
+        "17": 17, " 17 ": 17, "+17": 17, "17.0": 17, "17.": 17, "-0.0": 0, "1700": 1700, "1e3": 1000, "1.5e1": 15, "0.1e1": 1,
+        "9223372036854775807": 2**63 - 1, "-9223372036854775808.00": -(2**63), ".0": 0, "1e3.0": None, "17.0.0": None,
+        "17.50": None, "17.0x": None, "5d": None, "1_0": None, "9223372036854775808": None, "1e19": None, "inf": None, "x.0": None,
+    }
+    for text, number in texts.items():
+        one = frame("t STRING", (text,)).select(strict_integer(F.col("t"), "t").alias("n"))
+        if number is None:
+            with pytest.raises(Exception, match="as a whole number"):
+                one.collect()
+        else:
+            assert records(one, "n") == [number], text
+    missing = frame("t STRING", (None,), ("nan",), (" NaN ",)).select(strict_integer(F.col("t"), "t").alias("n"))
+    assert records(missing, "n") == [None] * 3
+
+
 def test_converting_a_total_equals_totalling_conversions(frame):
     rng = random.Random(11)
     sales = frame("currency STRING, sale_date DATE, amount_native DOUBLE", *[
