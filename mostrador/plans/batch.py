@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources import land_erp, read_erp, read_model, read_sources, write_model
+from ..sources import land_document, read_model, read_sources, write_model
 from .bridge import build_bridge, reconcile_orders, reconcile_sales
 from .star import build_model
 
@@ -20,15 +20,14 @@ def run_batch(
 ) -> dict[str, DataFrame]:
     """Load, reconcile, build and store; returns the stored tables.
 
-    A single ERP document is landed under ``<root>/_landed`` first, so that everything after it
+    A single ERP document is landed under ``<root>/_landed`` first, by one pass over it, so that everything after
     reads a splittable format.
     """
+    if erp_layout == "document":
+        land_document(spark, inventory, f"{root}/_landed")
+        inventory, erp_layout = f"{root}/_landed", "parquet"
     feeds = read_sources(spark, sales, ecommerce, inventory, exchange_rates, erp_layout)
     erp = feeds["inventory"]
-    if erp_layout == "document":
-        landed = f"{root}/_landed"
-        land_erp(erp, landed)
-        erp = read_erp(spark, landed, "parquet")
     bridge = build_bridge(feeds["sales"], feeds["ecommerce"], erp)
     model = build_model(
         reconcile_sales(feeds["sales"], bridge, check=False),  # build_bridge has checked its codes

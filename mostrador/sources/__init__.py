@@ -1,9 +1,10 @@
+from .documents import split_document
 from .readers import (
     Erp, read_erp, read_model, read_orders, read_pos, read_rates, read_sources, section,
 )
-from .writers import land_erp, write_model
+from .writers import land_document, land_erp, write_model
 
 __all__ = [
     "Erp", "read_erp", "read_model", "read_orders", "read_pos", "read_rates", "read_sources",
-    "section", "land_erp", "write_model",
+    "section", "split_document", "land_document", "land_erp", "write_model",
 ]

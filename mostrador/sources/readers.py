@@ -48,6 +48,9 @@ def read_orders(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+#: Folders of the sections of a document that was cut into JSON Lines are named ``section=<name>``.
+SECTION_FOLDER = "section"
+
 #: Records of a JSON Lines section that are looked at before its whole content is.
 FIRST_RECORDS = 1000
 
@@ -90,22 +93,28 @@ def _require_sections(document: T.StructType) -> None:
 
 def _require_lines(spark: SparkSession, where: str, rows: str, name: str) -> None:
     """Fields of a JSON Lines section: by its first records, by all of them only if a field is not among those."""
-    first = [row.value for row in spark.read.text(where).limit(FIRST_RECORDS).collect()]
+    lines = spark.read.text(where).where("trim(value) <> ''")
+    first = [row.value for row in lines.limit(FIRST_RECORDS).collect()]
     try:
-        found = {key for line in first if line.strip() for key in json.loads(line)}
+        found = {key for line in first for key in json.loads(line)}
     except ValueError:
         return  # a malformed record fails the reader, which names it
     if first and not _fields(rows) <= found:
         _require_fields(spark.read.json(where).schema, rows, name)
 
 
+def _exists(spark: SparkSession, folder: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def read_erp(spark: SparkSession, path: str, layout: str = "document") -> Erp:
     """The ERP export. An absent section or field raises ``GateError`` here, by its name.
 
     ``layout="document"``: one JSON document; its structure is looked up once, and each section is parsed with a
-    schema that holds that section only. A single document is one task, so large exports should be landed once with
-    :func:`writers.land_erp` and read as ``layout="parquet"``, or delivered as JSON Lines
-    (``layout="lines"``), both with one folder per section under ``path``.
+    schema that holds that section only. That holds the document in one task, so large exports should be landed with
+    :func:`writers.land_document`, which reads them once and piece by piece, and read as ``layout="parquet"``, or
+    delivered as JSON Lines (``layout="lines"``), both with one folder per section under ``path``.
     """
     if layout == "document":
         _require_sections(spark.read.option("multiLine", True).option("mode", "FAILFAST").json(path).schema)
@@ -116,8 +125,11 @@ def read_erp(spark: SparkSession, path: str, layout: str = "document") -> Erp:
             reader = spark.read.schema(_nested(where, rows)).option("multiLine", True)
             return section(reader.option("mode", "FAILFAST").json(path), where)
         if layout == "lines":
-            _require_lines(spark, f"{path}/{name}", rows, where)
-            return spark.read.schema(rows).option("mode", "FAILFAST").json(f"{path}/{name}")
+            folder = f"{path}/{name}"
+            if not _exists(spark, folder) and _exists(spark, cut := f"{path}/{SECTION_FOLDER}={name}"):
+                folder = cut
+            _require_lines(spark, folder, rows, where)
+            return spark.read.schema(rows).option("mode", "FAILFAST").json(folder)
         if layout == "parquet":
             require_columns(spark.read.parquet(f"{path}/{name}"), _fields(rows), where)
             return spark.read.schema(rows).parquet(f"{path}/{name}")

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import month_of
+from ..operators.gates import GateError
 from ..schemas import ERP_SECTIONS, MODEL_KEYS, MONTH_PARTITIONS
-from .readers import Erp
+from .documents import NO_LIST, split_document
+from .readers import SECTION_FOLDER, Erp, read_erp
 
 # Row order inside the files, for tight min/max statistics.
 SORTED_BY = {
@@ -19,12 +21,38 @@ SORTED_BY = {
 }
 
 
+#: Records of a file of landed lines, which one task parses.
+LINES_PER_FILE = 500_000
+
+
 def land_erp(erp: Erp, root: str) -> None:
     """Write each ERP section once as Parquet, spread over files of even size."""
     for name in ERP_SECTIONS:
         getattr(erp, name).hint("rebalance").write.mode("overwrite").parquet(f"{root}/{name}")
 
 
+def land_document(spark: SparkSession, path: str, root: str) -> Erp:
+    """Land a single ERP document: one read cuts all sections into JSON Lines, which are then stored as Parquet.
+
+    The document is never held whole, by a task or the driver; the parsing of its records is spread over tasks. An absent
+    section or field raises ``GateError``, a malformed document or record fails the job.
+    """
+    lines = f"{root}/_lines"
+    found = split_document(spark, path, {name: where for name, (where, _) in ERP_SECTIONS.items()})
+    found.write.mode("overwrite").partitionBy(SECTION_FOLDER).option("maxRecordsPerFile", LINES_PER_FILE).text(lines)
+    landed = spark.read.text(lines)
+    no_list: dict[str, bool] = {}
+    if SECTION_FOLDER in landed.columns:  # else there is no section at all
+        no_list = {row[0]: row[1] for row in landed.groupBy(SECTION_FOLDER).agg(F.max(F.col("value") == NO_LIST)).collect()}
+    for name, (where, _) in ERP_SECTIONS.items():
+        if name not in no_list:
+            raise GateError(f"the ERP document has no section {where}")
+        if no_list[name]:
+            raise GateError(f"the ERP document's section {where} is no list")
+    land_erp(read_erp(spark, lines, "lines"), root)
+    return read_erp(spark, root, "parquet")
+
+
 def write_model(model: Mapping[str, DataFrame], root: str) -> None:
     """Overwrite every table of the model under ``root``.
 

@@ -1,6 +1,7 @@
 """Star schema builders, feeds and the batch run."""
 
 import json
+import random
 from dataclasses import replace
 from decimal import Decimal
 
@@ -15,7 +16,10 @@ from mostrador.plans import (
     audit, build_model, channel_growth, inventory_turnover, negative_margin, run_batch, star, stockout_runs,
 )
 from mostrador.schemas import ERP_SECTIONS, MAPPINGS, MODEL_KEYS, PRODUCTS, SNAPSHOTS, STORES
-from mostrador.sources import Erp, land_erp, read_erp, read_model, read_pos, read_sources, write_model
+from mostrador.sources import (
+    Erp, land_document, land_erp, read_erp, read_model, read_pos, read_sources, split_document, write_model,
+)
+from mostrador.sources.documents import Splitter
 
 RECONCILED_SALES = (
     "venta_id STRING, fecha_hora STRING, tienda_id STRING, sku STRING, cantidad STRING, monto STRING, "
@@ -231,6 +235,72 @@ def test_landed_layouts(spark, feeds, tmp_path):
         read_erp(spark, str(tmp_path), "xml")
 
 
+def made_document(seed):
+    rng = random.Random(seed)
+    texts = ["", "{", "}{", "[", '"', "\\", "\\\"{", "a\nb", "\u2028é", "tiendas_info", "snapshots", "x" * 50]
+
+    def value(depth):
+        kind = rng.randrange(6 if depth else 4)
+        if kind == 4:
+            return [value(depth - 1) for _ in range(rng.randrange(3))]
+        if kind == 5:
+            return {rng.choice(texts): value(depth - 1) for _ in range(rng.randrange(3))}
+        return (rng.choice(texts), rng.randrange(-9, 9) / 4, None, True)[kind]
+
+    def rows():
+        return [{"k": value(3), **{rng.choice(texts): value(2) for _ in range(3)}} for _ in range(rng.randrange(6))]
+
+    inner = {"x": value(2), "rows": rows(), "more": [{"rows": rows()}], "tiendas_info": rows()}
+    parts = [("noise", value(3)), ("tiendas_info", rows()), ("catalogo", inner), ("snapshots", rows()), ("{", rows()), ("rows", rows())]
+    rng.shuffle(parts)
+    return dict(parts)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_documents_are_split(spark, tmp_path, seed):
+    document = made_document(seed)
+    text = json.dumps(document, indent=[None, 2][seed % 2], ensure_ascii=seed % 3 == 0)
+    (tmp_path / "d.json").write_text(text, encoding="utf-8")
+    sections = {"a": "tiendas_info", "b": "catalogo.rows", "c": "snapshots", "d": "catalogo.absent"}
+    expected = {"a": document["tiendas_info"], "b": document["catalogo"]["rows"], "c": document["snapshots"]}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "37")  # every record crosses splits
+    try:
+        rows = split_document(spark, str(tmp_path / "d.json"), sections).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    found = {}
+    for row in rows:
+        assert "\n" not in row.value
+        found.setdefault(row.section, []).extend([json.loads(row.value)] if row.value else [])
+    assert found == expected
+
+
+def test_split_documents_hold_one_record():
+    record = '{"k": [{"x": 1}, "{"]}'
+    splitter, most, n = Splitter({"a": "a"}), 0, 0
+    pieces = ('{"noise": [' + "{}, " * 5000 + '1], "a": [' + ", ".join([record] * 5000) + ', null, 3], "b": 2}').split("{")
+    for i, piece in enumerate(pieces):
+        n += sum(1 for _, value in splitter.feed(piece if i == 0 else "{" + piece) if value == record)
+        most = max(most, sum(map(len, splitter.record or [])))
+    splitter.finish()
+    assert n == 5000 and most <= 2 * len(record)
+
+
+@pytest.mark.parametrize("text", ["", "[", '{"snapshots": [', '{"snapshots": [{"a": 1}', '{"a": 1}}', '{"a": [1}', '{"a": "x}'])
+def test_broken_documents_are_not_landed(spark, tmp_path, text):
+    (tmp_path / "bad.json").write_text(text)
+    with pytest.raises(Exception, match="malformed JSON document|has no section"):
+        land_document(spark, str(tmp_path / "bad.json"), str(tmp_path / "out"))
+
+
+def test_landed_document(spark, feeds, tmp_path):
+    erp, landed = read_erp(spark, feeds["inventory"]), land_document(spark, feeds["inventory"], str(tmp_path / "out"))
+    for name in ERP_SECTIONS:
+        assert sorted(map(str, getattr(landed, name).collect())) == sorted(map(str, getattr(erp, name).collect()))
+        assert getattr(landed, name).schema == getattr(erp, name).schema
+
+
 @pytest.fixture(scope="module")
 def stored(spark, feeds, tmp_path_factory):
     """Root of the stored model, written twice: the second run replaces the tables."""
@@ -324,6 +394,8 @@ def test_absent_section(spark, feeds, tmp_path, path):
     *outer, last = path.split(".")
     with pytest.raises(GateError, match=f"no section {path}"):
         read_erp(spark, _edited(feeds, tmp_path, lambda d: (_records(d, ".".join(outer)) if outer else d).pop(last)))
+    with pytest.raises(GateError, match=f"no section {path}"):
+        land_document(spark, str(tmp_path / "inventory.json"), str(tmp_path / "out"))
 
 
 @pytest.mark.parametrize(
@@ -339,6 +411,8 @@ def test_absent_field(spark, feeds, tmp_path, name, field):
     message = rf"{path} is missing required columns: \['{field}'\]"
     with pytest.raises(GateError, match=message):
         read_erp(spark, _edited(feeds, tmp_path, lambda d: [r.pop(field) for r in _records(d, path)]))
+    with pytest.raises(GateError, match=message):
+        land_document(spark, str(tmp_path / "inventory.json"), str(tmp_path / "out"))
     erp = read_erp(spark, feeds["inventory"])
     for layout, write in (("lines", "json"), ("parquet", "parquet")):
         root = tmp_path / layout
@@ -354,8 +428,9 @@ def test_field_of_some_records_and_empty_section(spark, feeds, tmp_path):
         document["tiendas_info"][0].pop("region")
         document["snapshots"] = []
 
-    erp = read_erp(spark, _edited(feeds, tmp_path, change))
-    assert sorted(map(str, records(erp.stores, "region"))) == ["None", "R"] and erp.snapshots.count() == 0
+    path = _edited(feeds, tmp_path, change)
+    for erp in (read_erp(spark, path), land_document(spark, path, str(tmp_path / "out"))):
+        assert sorted(map(str, records(erp.stores, "region"))) == ["None", "R"] and erp.snapshots.count() == 0
 
 
 @pytest.mark.parametrize("name", sorted(MODEL_KEYS))
@@ -385,7 +460,7 @@ def test_totals_keep_their_digits(frame):
     assert records(df.agg(money_total("a").cast("string").alias("t")), "t") == ["0.300712445678000000"]
     assert records(frame("a DOUBLE", (None,)).agg(money_total("a").alias("t")), "t") == [None]
     assert records(frame("a DOUBLE", (9e16,), (0.25,)).agg(money_total("a").cast("double").alias("t")), "t") == [9e16]
-    for large in (1e19, 1e-25):
+    for large in (1e19, 1e-25, float("inf"), float("nan")):
         with pytest.raises(Exception, match="amount: cannot read"):
             frame("a DOUBLE", (large,)).agg(money_total("a").alias("t")).collect()
 
