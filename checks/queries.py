@@ -225,6 +225,31 @@ def precise_costs(t):
     return lines.groupBy("l_partkey").agg(cost_total(F.col("quantity"), F.col("cost")).cast("double").alias("cost"))
 
 
+@query
+def large_totals(t):
+    """Amounts over 10^13 beside small ones with many decimals, of both signs; one group holds nulls alone."""
+    price = F.col("l_extendedprice")
+
+    def signed(factor):
+        size = F.when(F.col("l_linestatus") == "O", price * factor).otherwise(price / 1024)
+        return F.when(F.col("l_linenumber") < 7, F.when(F.col("l_returnflag") == "R", -size).otherwise(size))
+
+    lines = t.lineitem.select(
+        "l_linenumber", signed(1e8).alias("amount"), signed(1e5).alias("unit"), F.col("l_quantity").cast("bigint").alias("quantity")
+    )
+    return lines.groupBy("l_linenumber").agg(
+        money_total("amount").cast("string").alias("total"),
+        cost_total(F.col("quantity"), F.col("unit")).cast("string").alias("cost"),
+    )
+
+
+@query
+def repeated_order_days(t):
+    """Customers with several orders on one day."""
+    days = t.orders.select("o_custkey", F.to_date("o_orderdate").alias("date"))
+    return gates.duplicate_keys(days, ["o_custkey", "date"])
+
+
 @query
 def repeated_costs(t):
     """Parts with several returned lines on one day, read as cost entries."""
@@ -401,6 +426,12 @@ def lenient_stock(t):
 # --- star schema -----------------------------------------------------------------------------
 
 
+@query
+def batch_from_files(t):
+    """The sample tables as feeds in files, then the whole batch run: reading, codes, star schema, margin by store and product."""
+    return negative_margin(roles.batch_model(t), FIRST, LAST)
+
+
 @query
 def unified_sales(t):
     lines = t.lineitem.where("l_returnflag = 'N'").select(
@@ -576,8 +607,8 @@ def set_compare(t):
 
 @query
 def sets_that_differ(t):
-    """Customers and event users: neither holds the other."""
-    return profile.set_comparison(t.customer.where("c_custkey % 3 > 0"), "c_custkey", t.events, "user_id")
+    """Customers with orders and event users: neither holds the other."""
+    return profile.set_comparison(t.orders, "o_custkey", t.events, "user_id")
 
 
 @query

@@ -13,9 +13,13 @@ The sample data has no stores, stock or exchange rates, so its tables stand in f
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from mostrador.operators.series import calendar
+from mostrador.plans import run_batch
+from mostrador.session import shared_folder
 
 FIRST, LAST = "1995-01-01", "2001-12-31"  # all orders and shipments of the sample lie in here
 
@@ -221,3 +225,102 @@ def part_codes(t: Tables) -> DataFrame:
         F.when(F.col("p_type") != "PROMO", handle).alias("handle"),
         "p_partkey",
     )
+
+
+# Files: the tables as the feeds that the batch run reads. Parts are products, suppliers stores; every third part is sold by
+# the web shop as well. Codes hold a number of three digits; parts beyond that, and every seventh, have explicit codes.
+
+def _explicit(part: str) -> Column:
+    return (F.col(part) % 7 == 0) | (F.col(part) > 999)
+
+
+def _erp_code(part: str) -> Column:
+    numbered = F.concat(F.lit("ERP-PROV-MX-"), F.lpad(F.col(part).cast("string"), 3, "0"), F.lit("-X"))
+    return F.when(F.col(part) > 999, F.concat(F.lit("part {"), F.col(part))).otherwise(numbered)
+
+
+def _pos_code(part: str) -> Column:
+    numbered = F.concat(F.lit("CN-"), F.lpad(F.col(part).cast("string"), 5, "0"))
+    return F.when(_explicit(part), F.concat(F.lit("till {"), F.col(part))).otherwise(numbered)
+
+
+def _handle(part: str) -> Column:
+    numbered = F.concat(F.lit("thing-"), F.lpad(F.col(part).cast("string"), 3, "0"))
+    return F.when(_explicit(part), F.concat(F.lit('a "b" '), F.col(part))).otherwise(numbered)
+
+
+def _erp_lines(t: Tables) -> DataFrame:
+    """The ERP document, line by line: (place, line)."""
+    product = _erp_code("p_partkey")
+    dated = costs(t).groupBy("product_id").agg(
+        F.sort_array(
+            F.collect_list(
+                F.struct(
+                    F.col("effective_date").cast("string").alias("fecha_vigencia"),
+                    F.col("cost_mxn").alias("costo_mxn"),
+                    F.lit("any").alias("proveedor"),
+                )
+            )
+        ).alias("cost_history")
+    )
+    parts = t.part.select("p_partkey", product.alias("sku_erp"), F.col("p_name").alias("nombre"), F.col("p_type").alias("categoria"))
+    readings_ = readings(t).select(
+        F.col("date").cast("string").alias("fecha"),
+        F.col("store_id").cast("string").alias("tienda_id"),
+        _erp_code("product_id").alias("sku_erp"),
+        F.coalesce(F.col("stock_quantity").cast("string"), F.lit("N/A")).alias("cantidad_en_stock"),
+    )
+    sections = [
+        ('{"tiendas_info": [', t.supplier.select(
+            F.col("s_suppkey").cast("string").alias("tienda_id"), F.col("s_name").alias("ciudad"),
+            F.col("s_nationkey").cast("string").alias("region"), F.lit("UTC").alias("timezone"))),
+        ('], "sku_mappings": [', t.part.where(_explicit("p_partkey")).select(
+            _pos_code("p_partkey").alias("sku_pos"), product.alias("sku_erp"),
+            F.when(F.col("p_partkey") % 3 == 0, _handle("p_partkey")).alias("handle"))),
+        ('], "catalogo": {"version": 2, "productos": [', parts.join(
+            dated, F.col("p_partkey") == F.col("product_id")).select("sku_erp", "nombre", "categoria", "cost_history")),
+        (']}, "snapshots": [', readings_),
+    ]
+    lines = []
+    for k, (head, rows) in enumerate(sections):
+        options = {"ignoreNullFields": "false"}
+        lines.append(rows.select(F.lit(2 * k + 1).alias("place"), F.to_json(F.struct("*"), options).alias("line")))
+        lines.append(t._spark.range(1).select(F.lit(2 * k).alias("place"), F.lit(head).alias("line")))
+    lines.append(t._spark.range(1).select(F.lit(2 * len(sections)).alias("place"), F.lit("]}").alias("line")))
+    whole = lines[0]
+    for more in lines[1:]:
+        whole = whole.unionByName(more)
+    return whole
+
+
+def batch_model(t: Tables) -> dict[str, DataFrame]:
+    """The stored star schema of a batch run over files made of the tables."""
+    root = f"{shared_folder(t._spark).rstrip('/')}/mostrador/feeds-{uuid.uuid4().hex}"
+    orders = ordered_sales(t)
+    orders.select(
+        F.monotonically_increasing_id().alias("venta_id"),
+        F.col("sold_at").cast("string").alias("fecha_hora"),
+        F.col("store_id").alias("tienda_id"),
+        _pos_code("product_id").alias("sku"),
+        F.col("quantity").alias("cantidad"),
+        F.col("amount_native").alias("monto"),
+        F.lit("MXN").alias("moneda"),
+        F.lit("I").alias("tipo_comprobante"),
+    ).write.option("header", True).option("escape", '"').csv(f"{root}/sales")
+    web = orders.where("product_id % 3 = 0")
+    web.select(
+        F.monotonically_increasing_id().cast("string").alias("order_id"),
+        F.col("sold_at").cast("string").alias("fecha"),
+        _handle("product_id").alias("product_handle"),
+        F.col("quantity").alias("cantidad"),
+        F.col("amount_native").alias("amount"),
+        F.lit("USD").alias("currency"),
+    ).write.parquet(f"{root}/orders")
+    rates = fx_rates(t).select(F.col("rate_date").cast("string").alias("fecha"), "currency", "rate_to_mxn")
+    rates.write.option("header", True).csv(f"{root}/rates")
+    # a single document is a single file
+    lines = _erp_lines(t).repartition(1).sortWithinPartitions("place", "line")
+    first = F.row_number().over(Window.partitionBy("place").orderBy("line")) == 1
+    comma = F.when((F.col("place") % 2 == 1) & ~first, F.lit(", ")).otherwise(F.lit(""))
+    lines.select(F.concat(comma, "line").alias("line")).coalesce(1).write.text(f"{root}/inventory")
+    return run_batch(t._spark, f"{root}/sales", f"{root}/orders", f"{root}/inventory", f"{root}/rates", f"{root}/model")
