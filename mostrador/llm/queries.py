@@ -55,7 +55,7 @@ def op6_repeats(spark, sf_dir):
 def op7_decontaminate(spark, sf_dir):
     from .decontaminate import find_contamination
 
-    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("matches")
 
 
 def op8_token_counts(spark, sf_dir):

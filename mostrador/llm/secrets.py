@@ -3,12 +3,17 @@
 Three fixed patterns find assignments, access keys and hexadecimal strings. On top of them every candidate
 string (a long run of one character class) is scanned by a window: the counts of the characters in it are kept as
 it moves by one, and with them the Shannon entropy. Windows at or above the class's entropy are joined to spans; spans
-that an allow-list pattern matches whole (plain words, numbers, UUIDs, marked examples) are left out.
+that an allow-list pattern matches whole (plain words, numbers, UUIDs) are left out, and so are those of which little is
+left without the surroundings of a word that marks an example.
+
+Expressions that a lambda uses for every element are bound first (``_let``), and windows and running sums are made in blocks,
+so that time grows in proportion to a text, also where it is one long run.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -47,45 +52,67 @@ ALLOWED = (
     r"[0-9_/+-]+",  # numbers, dates
     r"[A-Za-z]+[0-9]{1,4}",  # numbered names
     r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",  # UUIDs
-    r".*(?i:example|sample|dummy|placeholder|xxxx).*",
 )
-BLOCK = 512  # running sums are made in blocks, so that their cost grows with the number of matches
+#: Words that mark an example, with what belongs to them: the piece between / _ - that they stand in, as far as it is near.
+NEAR = 20
+MARKED = f"[^/_-]{{0,{NEAR}}}(?i:example|sample|dummy|placeholder|xxxx)[^/_-]{{0,{NEAR}}}"
+BLOCK = 512  # matches, or positions of a window, of one block
 
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 KINDS = ("assign", "access", "hex")
 
 
-def _running(lengths: Column) -> Column:
-    """For each element the sum of those before it."""
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once however often and in whatever lambda the body uses it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _blocks(first: int | Column, last: Column) -> Column:
+    """The starts of the blocks from ``first`` to ``last``; one at least."""
+    first = F.lit(first) if isinstance(first, int) else first
+    return F.sequence(first, F.greatest(last, first), F.lit(BLOCK))
 
-    def sums(part: Column, first: Column) -> Column:
+
+def _scan(values: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """For each element of an array of whole numbers what ``add`` makes, from 0, of those before it."""
+
+    def before(part: Column, first: Column) -> Column:
         start = F.struct(first.alias("at"), F.array().cast("array<int>").alias("out"))
         step = F.aggregate(
-            part, start, lambda s, n: F.struct((s["at"] + n).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out"))
+            part, start, lambda s, n: F.struct(add(s["at"], n).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out"))
         )
         return step["out"]
 
-    def total(part: Column) -> Column:
-        return F.aggregate(part, F.lit(0), lambda s, n: s + n)
+    def joined(blocks: Column) -> Column:
+        firsts = before(F.transform(blocks, lambda part: F.aggregate(part, F.lit(0), add)), F.lit(0))
+        return F.flatten(F.zip_with(blocks, firsts, lambda b, f: before(b, f)))
+
+    return _let(values, lambda all_: _let(_in_blocks(all_), joined))
 
-    starts = F.sequence(F.lit(1), F.greatest(F.size(lengths), F.lit(1)), F.lit(BLOCK))
-    blocks = F.transform(starts, lambda i: F.slice(lengths, i, BLOCK))
-    firsts = sums(F.transform(blocks, total), F.lit(0))
-    return F.flatten(F.zip_with(blocks, firsts, lambda b, f: sums(b, f)))
+
+def _in_blocks(values: Column) -> Column:
+    return F.transform(_blocks(1, F.size(values)), lambda i: F.slice(values, i, BLOCK))
 
 
 def _matches(text: Column, pattern: str) -> Column:
     """The leftmost matches that do not overlap: array of (start, end, match), code points, end exclusive."""
-    gaps = F.transform(F.split(text, pattern, -1), F.length)
+
+    def found(hits: Column) -> Column:
+        gaps = F.slice(F.transform(F.split(text, pattern, -1), F.length), F.lit(1), F.size(hits))
+        # gap, hit, gap, hit: what precedes hit i is the first i gaps and hits, and its own gap
+        sizes = F.zip_with(gaps, hits, lambda g, h: F.struct(g.alias("gap"), F.length(h).alias("hit")))
+
+        def placed(both: Column) -> Column:
+            before = _scan(F.transform(both, lambda x: x["gap"] + x["hit"]), lambda a, b: a + b)
+            starts = F.zip_with(before, both, lambda b, x: b + x["gap"])
+            return F.zip_with(
+                starts, hits, lambda s, h: F.struct(s.alias("start"), (s + F.length(h)).alias("end"), h.alias("match"))
+            )
+
+        return _let(sizes, placed)
+
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    sizes = F.transform(hits, F.length)
-    # gap, hit, gap, hit: what precedes hit i is the first i gaps and hits, and its own gap
-    before = _running(F.zip_with(F.slice(gaps, 1, F.size(hits)), sizes, lambda g, h: g + h))
-    starts = F.zip_with(before, F.slice(gaps, 1, F.size(hits)), lambda b, g: b + g)
-    found = F.zip_with(
-        starts, hits, lambda s, h: F.struct(s.alias("start"), (s + F.length(h)).alias("end"), h.alias("match"))
-    )
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast("array<struct<start:int,end:int,match:string>>"))
+    return F.when(text.rlike(pattern), _let(hits, found)).otherwise(F.array().cast("array<struct<start:int,end:int,match:string>>"))
 
 
 def _spans(found: Column, kind: int) -> Column:
@@ -105,62 +132,101 @@ def entropy_windows(candidate: Column, group: Class) -> Column:
     """Joined windows of a candidate string whose entropy reaches the class's bound: array of (start, end).
 
     With c the count of a character in the window of w, its entropy is log2 w - sum(c log2 c) / w. The counts and
-    that sum change by one character that leaves and one that enters.
+    that sum change by one character that leaves and one that enters. Blocks of windows are read on their own, each with the w
+    windows before and after it: those tell whether the first or the last high window of the block begins or ends a span.
     """
     w = group.window
-    table = F.array(*(F.lit(c * math.log2(c) if c else 0.0) for c in range(w + 2)))
+    # in units of 2^-32 bits, so that a window weighs the same in every block
+    table = F.array(*(F.lit(round(c * math.log2(c) * 2**32) if c else 0).cast("long") for c in range(w + 2)))
+    heaviest = math.floor((math.log2(w) - group.entropy) * w * 2**32)
     places = F.transform(F.split(candidate, ""), lambda c: F.instr(F.lit(group.alphabet), c) - 1)
     places = F.filter(places, lambda p: p >= 0)
-    pairs = F.transform(
-        places,
-        lambda p, j: F.struct(
-            (j + 1).alias("i"), p.alias("come"), F.when(j >= w, F.get(places, j - w)).otherwise(-1).alias("go")
-        ),
-    )
+    nothing = F.array().cast("array<int>")
 
     def change(count: Column, by: int) -> Column:
         return F.get(table, count + by) - F.get(table, count)
 
-    def step(state: Column, pair: Column) -> Column:
-        counts, weight, out = state["counts"], state["weight"], state["out"]
-        i, come, go = pair["i"], pair["come"], pair["go"]
-        weight = weight + F.when(go >= 0, change(F.get(counts, go), -1)).otherwise(0.0)
-        weight = weight + change(F.get(counts, come) - (come == go).cast("int"), 1)
-        moved = F.transform(counts, lambda c, j: c + (j == come).cast("int") - (j == go).cast("int"))
-        high = (i >= w) & (F.lit(math.log2(w)) - weight / F.lit(float(w)) >= group.entropy)
-        last = F.get(out, F.size(out) - 1)
-        joined = F.concat(
-            F.slice(out, 1, F.size(out) - 1), F.array(F.struct(last["start"].alias("start"), i.alias("end")))
+    def block(all_: Column, first: Column) -> Column:
+        """Starts and ends of spans among the windows that end at first ... first + BLOCK - 1."""
+        begin = F.greatest(first - 2 * w, F.lit(0))  # characters from here on
+        part = F.slice(all_, begin + 1, first + BLOCK + w - 1 - begin)
+
+        def within(at: Column) -> Column:
+            return (at >= first) & (at < first + BLOCK)
+
+        def step(state: Column, pair: Column) -> Column:
+            counts, last = state["counts"], state["last"]
+            at, come, go = pair["at"], pair["come"], pair["go"]
+            weight = state["weight"] + F.when(go >= 0, change(F.get(counts, go), -1)).otherwise(F.lit(0).cast("long"))
+            weight = weight + F.when(come == go, -change(F.get(counts, come), -1)).otherwise(change(F.get(counts, come), 1))
+            moved = F.when(come == go, counts).otherwise(
+                F.transform(counts, lambda c, j: F.when(j == come, c + 1).when(j == go, c - 1).otherwise(c))
+            )
+            high = (at - begin >= w) & (weight <= heaviest)
+            opens = high & (at - last > w)
+            return F.struct(
+                moved.alias("counts"),
+                weight.alias("weight"),
+                F.when(high, at).otherwise(last).alias("last"),
+                F.when(opens & within(at), F.concat(state["starts"], F.array(at - w))).otherwise(state["starts"]).alias("starts"),
+                F.when(opens & within(last), F.concat(state["ends"], F.array(last))).otherwise(state["ends"]).alias("ends"),
+            )
+
+        def closed(state: Column) -> Column:
+            ends = F.when(within(state["last"]), F.concat(state["ends"], F.array(state["last"]))).otherwise(state["ends"])
+            return F.struct(state["starts"].alias("starts"), ends.alias("ends"))
+
+        start = F.struct(
+            F.array_repeat(F.lit(0), len(group.alphabet)).alias("counts"),
+            F.lit(0).cast("long").alias("weight"),
+            F.lit(-2 * w).alias("last"),
+            nothing.alias("starts"),
+            nothing.alias("ends"),
         )
-        added = F.concat(out, F.array(F.struct((i - w).alias("start"), i.alias("end"))))
-        touches = (F.size(out) > 0) & (last["end"] >= i - w)
-        return F.struct(
-            moved.alias("counts"),
-            weight.alias("weight"),
-            F.when(high & touches, joined).when(high, added).otherwise(out).alias("out"),
+
+        def scanned(chars: Column) -> Column:
+            pairs = F.transform(
+                chars,
+                lambda p, j: F.struct(
+                    (begin + j + 1).alias("at"), p.alias("come"), F.when(j >= w, F.get(chars, j - w)).otherwise(-1).alias("go")
+                ),
+            )
+            return F.aggregate(pairs, start, step, closed)
+
+        return _let(part, scanned)
+
+    def spans(found: Column) -> Column:
+        ends = F.flatten(F.transform(found, lambda b: b["ends"]))
+        return F.zip_with(
+            F.flatten(F.transform(found, lambda b: b["starts"])), ends, lambda s, e: F.struct(s.alias("start"), e.alias("end"))
         )
 
-    start = F.struct(
-        F.array_repeat(F.lit(0), len(group.alphabet)).alias("counts"),
-        F.lit(0.0).alias("weight"),
-        F.array().cast("array<struct<start:int,end:int>>").alias("out"),
-    )
-    return F.aggregate(pairs, start, step, lambda s: s["out"])
+    return _let(places, lambda all_: _let(F.transform(_blocks(w, F.size(all_)), lambda i: block(all_, i)), spans))
 
 
 def _allowed(value: Column, allowed: tuple) -> Column:
     return value.rlike("^(?:" + "|".join(allowed) + ")$")
 
 
+def _marked(value: Column, least: int, allowed: tuple) -> Column:
+    """True for an example: without the surroundings of the marks too little is left, or nothing but words and numbers."""
+    rest = F.regexp_replace(value, MARKED, "")
+    return value.rlike(MARKED) & ((F.length(rest) < least) | _allowed(rest, allowed))
+
+
 def entropy_spans(text: Column, group: Class, kind: int, allowed: tuple = ALLOWED) -> Column:
-    """Spans of high entropy in the candidates of one class, less what the allow-list matches."""
+    """Spans of high entropy in the candidates of one class, less what the allow-list matches and marked examples."""
     pattern = f"[{group.pattern}]{{{group.window},}}"
     candidates = F.filter(_matches(text, pattern), lambda m: ~_allowed(m["match"], allowed))
 
     def within(found: Column) -> Column:
         windows = entropy_windows(found["match"], group)
-        cut = lambda s: F.substring(found["match"], s["start"] + 1, s["end"] - s["start"])
-        kept = F.filter(windows, lambda s: ~_allowed(cut(s), allowed))
+
+        def cut(span: Column, more: int = 0) -> Column:
+            start = F.greatest(span["start"] - more, F.lit(0))
+            return F.substring(found["match"], start + 1, span["end"] + more - start)
+
+        kept = F.filter(windows, lambda s: ~_allowed(cut(s), allowed) & ~_marked(cut(s, NEAR), group.window, allowed))
         return F.transform(
             kept,
             lambda s: F.struct(
@@ -218,20 +284,25 @@ def redact(
     text, name = F.col(f"`{text_column}`"), fresh(docs, "secret_spans")
     found = docs.withColumn(name, secret_spans(F.coalesce(text, F.lit("")), classes, allowed))
     spans = F.array_sort(F.concat(*(F.col(f"{name}.{k}") for k in (*KINDS, "added"))))
-    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-
-    def step(state: Column, span: Column) -> Column:
-        """Spans that begin before ``at`` only move it; the others add the text before them and the mark."""
-        before = F.substring(text, state["at"] + 1, span["start"] - state["at"])
-        apart = (span["start"] > state["at"]) | (F.size(state["parts"]) == 0)
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(apart, F.concat(state["parts"], F.array(before, F.lit(mark)))).otherwise(state["parts"]).alias("parts"),
-        )
 
-    def whole(state: Column) -> Column:
-        return F.concat(F.array_join(state["parts"], ""), F.substring(text, state["at"] + 1, F.length(text)))
-
-    cleaned = F.when(F.size(spans) > 0, F.aggregate(spans, none, step, whole)).otherwise(text)
+    def pieces(part: Column) -> Column:
+        """The text between the spans of a block, each with a mark; cut from the block's own stretch of the text."""
+        first = F.get(part, 0)["at"]
+        stretch = F.substring(text, first + 1, F.get(part, F.size(part) - 1)["until"] - first)
+        cut = lambda s: F.transform(
+            part, lambda c: F.concat(F.substring(s, c["at"] - first + 1, c["until"] - c["at"]), F.lit(mark))
+        )
+        return F.array_join(_let(stretch, cut), "")
+
+    def whole(all_: Column) -> Column:
+        # what precedes a span begins where all spans before it have ended; a span that begins earlier adds nothing
+        ended = _scan(F.transform(all_, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+        gaps = F.zip_with(all_, ended, lambda s, e: F.struct(e.alias("at"), s["start"].alias("until")))
+        apart = F.filter(gaps, lambda c, i: (c["until"] > c["at"]) | (i == 0))
+        marked = _let(apart, lambda kept: F.array_join(F.transform(_in_blocks(kept), pieces), ""))
+        last = F.array_max(F.transform(all_, lambda s: s["end"]))
+        return F.concat(marked, F.substring(text, last + 1, F.length(text)))
+
+    cleaned = F.when(F.size(spans) > 0, _let(spans, whole)).otherwise(text)
     out = found.withColumn(text_column, cleaned).drop(name)
     return out.withColumn("n_chars", F.length(text_column).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
