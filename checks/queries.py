@@ -12,6 +12,7 @@ from mostrador.operators import (
     period_change, stock_by_pair, top_k,
 )
 from mostrador.operators import gates, profile, resolve
+from mostrador.operators.panel import read_panel
 from mostrador.operators.resolve import CodeSystem
 from mostrador.plans import channel_growth, inventory_turnover, negative_margin, star, stockout_runs
 from mostrador.plans.bridge import reconcile_orders
@@ -746,6 +747,21 @@ def zero_spread(t):
     return profile.spread(roles.panel(t), F.col("stock_quantity") == 0, PAIR, "date")
 
 
+@query
+def panel_spreads(t):
+    """Unknown and zero readings from the panel's stored cells."""
+    panel = read_panel(roles.panel(t), PAIR, "date", F.col("stock_quantity"))
+    return profile.union_all(
+        [panel.spread(m).withColumn("measure", F.lit(m)) for m in ("n_missing", "n_zero", "n_sentinel")]
+    )
+
+
+@query
+def panel_coverage(t):
+    panel = read_panel(roles.readings(t), PAIR, "date", F.col("stock_quantity"))
+    return panel.coverage()
+
+
 @query
 def missing_by_pair(t):
     return profile.missing_per_pair(roles.readings(t), PAIR, "stock_quantity")

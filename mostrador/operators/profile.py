@@ -301,8 +301,12 @@ def pair_coverage(df: DataFrame, pair: Sequence[str], day: str) -> DataFrame:
     """Pairs, min / max / exact median of their days, and pairs with all or only some days."""
     days = _pair_days(df, pair, day)
     every = days.select("_day").distinct().agg(F.count("_day")).scalar()
-    per_pair = days.groupBy(*pair).agg(F.count("_day").alias("n_days")).withColumn("_every", every)
-    return per_pair.agg(
+    return coverage_of_days(days.groupBy(*pair).agg(F.count("_day").alias("n_days")), every)
+
+
+def coverage_of_days(per_pair: DataFrame, every: Column) -> DataFrame:
+    """The report of :func:`pair_coverage` from the days per pair and the number of all days."""
+    return per_pair.withColumn("_every", every).agg(
         F.count(F.lit(1)).alias("n_pairs"),
         F.min("n_days").alias("min_days"),
         F.max("n_days").alias("max_days"),

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import ERP_CODE, HANDLE_CODE, POS_CODE
 from ..functions.dates import Day
 from ..operators import profile
+from ..operators.panel import read_panel
 from ..operators.resolve import CodeSystem, numbered, observed_codes
 from ..session import settle
 from ..sources.readers import Erp
@@ -60,22 +61,23 @@ def audit_identifiers(sales: DataFrame, orders: DataFrame, erp: Erp) -> dict[str
 
 
 def audit_snapshots(erp: Erp) -> dict[str, DataFrame]:
-    """The daily stock panel: calendar, coverage of the pairs, unknown and zero readings."""
+    """The daily stock panel: calendar, coverage of the pairs, unknown and zero readings; the feed is scanned once."""
     raw = erp.snapshots
     # the reports describe the feed as it is: what is no number is unknown, a fraction is a reading
     stock = raw.withColumn("stock", F.nullif(F.col("cantidad_en_stock").try_cast("double"), F.lit(float("nan"))))
-    per_pair = settle(profile.missing_per_pair(stock, PAIR, "stock"), "audit-pairs")
+    panel = read_panel(stock, PAIR, "fecha", F.col("stock"), F.col("cantidad_en_stock"))
+    per_pair = panel.missing_per_pair()
     return {
-        "sentinels": profile.sentinel_share(raw, "cantidad_en_stock"),
-        "repeated_readings": profile.duplicate_row_count(raw, ["fecha", *PAIR]),
-        "calendar": profile.calendar_summary(raw, "fecha"),
-        "missing_days": profile.missing_days(raw, "fecha"),
-        "pair_coverage": profile.pair_coverage(raw, PAIR, "fecha"),
-        "days_per_pair": profile.distribution(profile.days_per_pair(raw, PAIR, "fecha"), "n_days", "n_pairs"),
-        "rows_per_day": profile.rows_per_day_summary(raw, "fecha"),
-        "day_sizes": profile.distribution(profile.rows_per_day(raw, "fecha"), "n_rows", "n_days"),
-        "unknown_spread": profile.spread(stock, F.col("stock").isNull(), PAIR, "fecha"),
-        "zero_spread": profile.spread(stock, F.col("stock") == 0, PAIR, "fecha"),
+        "sentinels": panel.sentinels(),
+        "repeated_readings": panel.repeated(),
+        "calendar": panel.calendar(),
+        "missing_days": panel.missing_days(),
+        "pair_coverage": panel.coverage(),
+        "days_per_pair": panel.days_per_pair(),
+        "rows_per_day": panel.rows_per_day(),
+        "day_sizes": panel.day_sizes(),
+        "unknown_spread": panel.spread("n_missing"),
+        "zero_spread": panel.spread("n_zero"),
         "unknown_per_pair": profile.missing_summary(per_pair),
         "unknown_distribution": profile.distribution(per_pair, "n_missing", "n_pairs"),
         "most_unknown": profile.most_missing(per_pair, PAIR),

@@ -16,6 +16,7 @@ from mostrador.operators import (
     period_change, top_k,
 )
 from mostrador.operators import gates, profile
+from mostrador.operators.panel import read_panel
 
 START = dt.date(2025, 1, 1)
 
@@ -235,6 +236,41 @@ def test_kinds_of_whole_texts(frame):
     assert records(missing, "n") == [None] * 3
 
 
+def test_panel_reports_equal_those_of_the_rows(spark, frame):
+    rng = random.Random(6)
+    rows = [
+        (
+            rng.choice(["s1", "s2", "s3", None]), rng.choice(["p1", "p2", "p3", "p4", None]),
+            rng.choice([f"2026-01-{d:02d}" for d in (1, 2, 3, 5, 9)] + ["2026-01-01 00:00:00", None]),
+            rng.choice([0, 0, 1, 5, None]),
+        )
+        for _ in range(300)
+    ] + [("s9", "p9", "2026-01-01", 3), (None, "p1", "2026-01-20", 0)]
+    full = frame("s STRING, p STRING, d STRING, v BIGINT", *rows)
+    pair = ("s", "p")
+    same = lambda a, b: sorted(map(str, a.select(*sorted(a.columns)).collect())) == sorted(
+        map(str, b.select(*sorted(b.columns)).collect())
+    )
+    for df in (full, full.where("false"), full.where("s = 's9'"), full.where("v > 0")):
+        panel = read_panel(df, pair, "d", F.col("v"), F.coalesce(F.col("v").cast("string"), F.lit("N/A")))
+        per_pair = profile.missing_per_pair(df, pair, "v")
+        text = df.withColumn("t", F.coalesce(F.col("v").cast("string"), F.lit("N/A")))
+        assert same(panel.sentinels(), profile.sentinel_share(text, "t"))
+        assert same(panel.repeated(), profile.duplicate_row_count(df, ["d", *pair]))
+        assert same(panel.calendar(), profile.calendar_summary(df, "d"))
+        assert same(panel.missing_days(), profile.missing_days(df, "d"))
+        assert same(panel.coverage(), profile.pair_coverage(df, pair, "d"))
+        assert same(panel.days_per_pair(), profile.distribution(profile.days_per_pair(df, pair, "d"), "n_days", "n_pairs"))
+        assert same(panel.rows_per_day(), profile.rows_per_day_summary(df, "d"))
+        assert same(panel.day_sizes(), profile.distribution(profile.rows_per_day(df, "d"), "n_rows", "n_days"))
+        assert same(panel.spread("n_missing"), profile.spread(df, F.col("v").isNull(), pair, "d"))
+        assert same(panel.spread("n_zero"), profile.spread(df, F.col("v") == 0, pair, "d"))
+        assert same(panel.missing_per_pair(), per_pair)
+        for report in (panel.spread("n_zero"), panel.coverage(), panel.sentinels()):
+            plan = report._jdf.queryExecution().optimizedPlan().toString()
+            assert "LogicalRDD" not in plan and "LocalRelation" not in plan, plan  # the rows themselves are not read again
+
+
 def test_converting_a_total_equals_totalling_conversions(frame):
     rng = random.Random(11)
     sales = frame("currency STRING, sale_date DATE, amount_native DOUBLE", *[
