@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html as references
 import re
+from collections import defaultdict
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -48,8 +49,9 @@ BLOCK_TAGS = frozenset(
 )
 VOID_TAGS = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
 #: Elements without text of the page; raw ones end only at their own end tag.
-RAW_TAGS = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg math".split())
-DROPPED_TAGS = RAW_TAGS | frozenset("head button select option optgroup object audio video canvas dialog datalist".split())
+RAW_TAGS = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg".split())
+NOTES = frozenset("annotation annotation-xml".split())  # a formula once more, in other words
+DROPPED_TAGS = RAW_TAGS | NOTES | frozenset("head button select option optgroup object audio video canvas dialog datalist".split())
 #: What may stand in a head; anything else ends it, as text does.
 HEAD_TAGS = frozenset("head html base basefont bgsound link meta title style script noscript noframes template".split())
 BAD_TAGS = frozenset("nav footer aside form menu search".split())
@@ -59,6 +61,7 @@ SELF_CLOSING = {
     "p": frozenset({"p"}), "li": frozenset({"li"}), "dt": frozenset({"dt", "dd"}), "dd": frozenset({"dt", "dd"}),
     "tr": frozenset({"tr", "td", "th"}), "td": frozenset({"td", "th"}), "th": frozenset({"td", "th"}),
 }
+_PARAGRAPH = frozenset({"p"})
 SCOPES = frozenset("article aside blockquote body div footer form header html main nav ol section table td th ul".split())
 
 # Words in class, id and role that say what a part is.
@@ -157,6 +160,9 @@ def blocks(page: str, refused: frozenset = frozenset(), names: bool = False) ->
     claims: list[Claim] = []
     # element, what it and those around it say, inside of a main part, why it is bad, its claim
     stack: list[tuple[str, int, bool, int, Claim | None]] = [("", OPEN, False, 0, None)]
+    # where in the stack the elements of a name are, and the scopes: no tag costs a walk over all open elements
+    places: defaultdict[str, list[int]] = defaultdict(list)
+    scopes = [0]
     parts: list[str] = []
     links, in_link, heading, skip = 0, 0, False, 0
 
@@ -170,7 +176,10 @@ def blocks(page: str, refused: frozenset = frozenset(), names: bool = False) ->
 
     def leave(depth: int) -> None:
         nonlocal in_link, heading, skip
-        for tag, _, _, _, claim in stack[depth:]:
+        for tag, _, _, _, claim in reversed(stack[depth:]):
+            places[tag].pop()
+            if tag in SCOPES:
+                scopes.pop()
             if claim:
                 claim.last = len(out)
             in_link -= tag == "a"
@@ -202,12 +211,12 @@ def blocks(page: str, refused: frozenset = frozenset(), names: bool = False) ->
             if not skip:
                 parts.append("\n")
             continue
-        block = tag in BLOCK_TAGS or tag in DROPPED_TAGS
+        block = tag in BLOCK_TAGS or tag in DROPPED_TAGS and tag not in NOTES
         if closing:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
+            depth = places[tag][-1] if places[tag] else 0
             if block and not skip:
                 end_block()
-            if depth and (block or not any(t in SCOPES for t, *_ in stack[depth + 1 :])):
+            if depth and (block or scopes[-1] <= depth):
                 leave(depth)
             continue
         attributes = found[3] or ""
@@ -222,13 +231,9 @@ def blocks(page: str, refused: frozenset = frozenset(), names: bool = False) ->
             at = close.end() if close else (end if tag in ("script", "style") else at)
             continue
         if tag in SELF_CLOSING or tag in SCOPES:
-            ends = SELF_CLOSING.get(tag, frozenset({"p"}))
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in ends:
-                    leave(i)
-                    break
-                if stack[i][0] in SCOPES:
-                    break
+            nearest = max((places[e][-1] for e in SELF_CLOSING.get(tag, _PARAGRAPH) if places[e]), default=0)
+            if nearest and nearest >= scopes[-1]:
+                leave(nearest)
         _, outer, main, why, _ = stack[-1]
         place, reason, claim = outer, why, None
         if why != HIDDEN:
@@ -244,6 +249,9 @@ def blocks(page: str, refused: frozenset = frozenset(), names: bool = False) ->
                 outer != BAD or not main and (tag == "main" or tag in GOOD_TAGS and why == PART or names and why == PART)
             ):
                 place, reason = GOOD, 0
+        places[tag].append(len(stack))
+        if tag in SCOPES:
+            scopes.append(len(stack))
         stack.append((tag, place, main or place == GOOD, reason, claim))
         in_link += tag == "a"
         skip += tag in DROPPED_TAGS
@@ -298,7 +306,7 @@ def first_pass(block: Block) -> tuple[int, int]:
         return BAD, BAD
     size = len(block.text)
     if block.links > LINKS * size:
-        return (BAD, BAD) if block.place != GOOD or block.links > 0.9 * size and size > SHORT else (OPEN, BAD)
+        return (BAD, BAD) if block.place != GOOD else (OPEN, BAD)
     if size < 3 * LONG and _NOTICE.match(block.text) and block.place != GOOD:
         return BAD, BAD
     words = _WORD.findall(block.text.lower())

@@ -339,6 +339,23 @@ def test_html_heads_without_end(start, text):
     assert html_text.main_text(start.format() + text.format(LONG)).split("\n") == [LONG, LONG]
 
 
+def test_html_of_an_article_stays():
+    link = "A source that is named in full, with its title and the year 1999"
+    page = f"<article><p>{LONG}</p><ul><li><a href=x>{link}</a></li></ul><p>{LONG} <math><mi>x</mi><mo>=</mo><mn>2</mn></math></p></article>"
+    assert html_text.main_text(f"<body><nav><a href=y>Home and more of the site</a></nav>{page}</body>").split("\n") == [LONG, link, f"{LONG} x=2"]
+    note = "<math><mi>y</mi><annotation encoding='application/x-tex'>y_1</annotation></math>"
+    assert html_text.main_text(f"<article><p>{LONG} {note}.</p></article>") == f"{LONG} y."
+
+
+@pytest.mark.parametrize("page", ["<div>{n}</b>", "<b><div>{n}</b>", "<div><i>{n}<p>", "<b><div><i>{n}</b>", "<div><i>{n}<div></div>", "<li><i>{n}</li>"])
+def test_html_time_grows_with_the_page(page):
+    first, second = page.split("{n}")
+    head, repeated = first[: first.rindex("<")], first[first.rindex("<") :]
+    started = time.monotonic()
+    html_text.main_text(head + repeated * 40_000 + second * 40_000)
+    assert time.monotonic() - started < 20
+
+
 def test_html_rows(spark):
     deep = "<div>" * 3000 + f"<p>{LONG}</p>"
     many = "<article>" + f"<p>{LONG}</p>" * 3000 + "</article>"
