@@ -17,7 +17,7 @@ from mostrador.llm.mixing import mix
 from mostrador.llm.secrets import redact
 from mostrador.llm.simhash import keep_one_per_group
 from mostrador.llm.toxicity import remove_toxic
-from mostrador.session import settle
+from mostrador.session import delete, intermediate, settle
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +54,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The corpus: every stage is written as Parquet in the shared folder and read again by the next one."""
-    docs = table(spark, sf_dir, "documents")
+    """The corpus: every stage is written as Parquet in the shared folder and read again by the next one.
+
+    When a stage is written, the tables it made on its way and the stage before it are deleted.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = settle(stage(spark, docs, sf_dir), f"corpus-{name}")
+        with intermediate(spark) as paths:
+            docs = settle(stage(spark, docs, sf_dir), f"corpus-{name}")
+            written = paths.pop()  # the stage itself, which stays
+        if before:
+            delete(spark, before)
+        before = written
     return docs
