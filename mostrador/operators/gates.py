@@ -10,7 +10,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..functions import code_number
 
@@ -62,6 +62,47 @@ def guarded(value: Column, holds: Column, message: str | Column) -> Column:
     return F.when(holds, value).otherwise(F.raise_error(text))
 
 
+@dataclass(frozen=True)
+class RowRule:
+    """A rule on single rows: what is wrong, the condition of a broken row, and the column that names it."""
+
+    message: str
+    broken: Column
+    shown: Column
+
+
+class Watch:
+    """Row rules that are counted while a frame is written, without a second read of it.
+
+        watch = Watch(facts, rules)
+        watch.frame.write.parquet(path)
+        watch.check()
+
+    ``check`` waits for the write and raises :class:`GateError` for the first broken rule, with the number of rows and
+    the smallest and largest name among them. Rows of a task that runs again after a loss count again, so the number
+    can be too large then; whether a rule is broken, and the names, cannot change.
+    """
+
+    def __init__(self, df: DataFrame, rules: Sequence[RowRule]):
+        self.rules, self.observation = list(rules), Observation()
+        self.frame = df
+        if self.rules:
+            counters = []
+            for i, rule in enumerate(self.rules):
+                broken = F.coalesce(rule.broken, F.lit(False))
+                name = F.when(broken, F.coalesce(rule.shown.cast("string"), F.lit("NULL")))
+                counters += [F.count_if(broken).alias(f"n{i}"), F.min(name).alias(f"first{i}"), F.max(name).alias(f"last{i}")]
+            self.frame = df.observe(self.observation, *counters)
+
+    def check(self) -> None:
+        found = self.observation.get if self.rules else {}
+        for i, rule in enumerate(self.rules):
+            if n := found.get(f"n{i}"):
+                first, last = found[f"first{i}"], found[f"last{i}"]
+                names = first if first == last else f"{first} to {last}"
+                raise GateError(f"{rule.message} ({n} rows: {names})")
+
+
 # --- structure -------------------------------------------------------------------------------
 
 

@@ -125,15 +125,18 @@ def catalog_gates(catalog: DataFrame, target: str, number: str = "product_number
 
 
 def attach_ids(
-    facts: DataFrame, bridge: DataFrame, code: str, bridge_code: str, label: str, target: str = "sku_erp"
+    facts: DataFrame, bridge: DataFrame, code: str, bridge_code: str, label: str, target: str = "sku_erp", strict: bool = True
 ) -> DataFrame:
-    """Facts with their canonical id; a fact without one fails the job that reads the id."""
+    """Facts with their canonical id; a fact without one fails the job that reads the id.
+
+    Without ``strict`` its id is NULL, for a ``gates.Watch`` on the pass that writes the facts to count and name.
+    """
     ids = bridge.where(F.col(bridge_code).isNotNull()).select(
         F.col(bridge_code).alias("_code"), F.col(target).alias("_id")
     )
     shown = F.concat(F.lit(f"Unreconciled {label} code: "), F.coalesce(F.col(code).cast("string"), F.lit("NULL")))
     joined = facts.join(ids, F.col(code) == F.col("_code"), "left")
-    resolved = guarded(F.col("_id"), F.col("_id").isNotNull(), shown)
+    resolved = guarded(F.col("_id"), F.col("_id").isNotNull(), shown) if strict else F.col("_id")
     return joined.withColumn(target, resolved).drop("_code", "_id")
 
 

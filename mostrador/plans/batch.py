@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.gates import RowRule
 from ..sources import land_document, read_model, read_sources, write_model
 from .bridge import build_bridge, reconcile_orders, reconcile_sales
 from .star import build_model
 
 
+def _unreconciled() -> RowRule:
+    return RowRule("Sales whose code has no product", F.col("product_id").isNull(), F.col("transaction_id"))
+
+
 def run_batch(
     spark: SparkSession,
     sales: str,
@@ -17,9 +22,12 @@ def run_batch(
     exchange_rates: str,
     root: str,
     erp_layout: str = "document",
+    buckets: int | None = None,
 ) -> dict[str, DataFrame]:
     """Load, reconcile, build and store; returns the stored tables.
 
+    Sales without a product are counted and named by the pass that writes them. ``buckets``: see ``write_model``.
+
     A single ERP document is landed under ``<root>/_landed`` first, by one pass over it, so that everything after
     reads a splittable format.
     """
@@ -30,11 +38,11 @@ def run_batch(
     erp = feeds["inventory"]
     bridge = build_bridge(feeds["sales"], feeds["ecommerce"], erp)
     model = build_model(
-        reconcile_sales(feeds["sales"], bridge, check=False),  # build_bridge has checked its codes
-        reconcile_orders(feeds["ecommerce"], bridge, check=False),
+        reconcile_sales(feeds["sales"], bridge, check=False, strict=False),  # build_bridge has checked its codes
+        reconcile_orders(feeds["ecommerce"], bridge, check=False, strict=False),
         erp,
         bridge,
         feeds["exchange_rates"],
     )
-    write_model(model, root)
+    write_model(model, root, {"fact_sales": [_unreconciled()]}, buckets)
     return read_model(spark, root)

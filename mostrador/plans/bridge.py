@@ -63,15 +63,15 @@ def _one_product_per_code(bridge: DataFrame, code: str) -> None:
     enforce(Gate(f"The product bridge repeats {code}", duplicate_keys(known, [code]), [code]))
 
 
-def reconcile_sales(sales: DataFrame, bridge: DataFrame, check: bool = True) -> DataFrame:
+def reconcile_sales(sales: DataFrame, bridge: DataFrame, check: bool = True, strict: bool = True) -> DataFrame:
     """Point-of-sale rows with ``sku_erp``. ``check`` makes sure that the join cannot repeat a sale."""
     if check:
         _one_product_per_code(bridge, "sku_pos")
-    return attach_ids(sales, bridge, "sku", "sku_pos", "POS")
+    return attach_ids(sales, bridge, "sku", "sku_pos", "POS", strict=strict)
 
 
-def reconcile_orders(orders: DataFrame, bridge: DataFrame, check: bool = True) -> DataFrame:
+def reconcile_orders(orders: DataFrame, bridge: DataFrame, check: bool = True, strict: bool = True) -> DataFrame:
     """Web-shop rows with ``sku_erp``. ``check`` makes sure that the join cannot repeat an order."""
     if check:
         _one_product_per_code(bridge, "product_handle")
-    return attach_ids(orders, bridge, "product_handle", "product_handle", "web shop")
+    return attach_ids(orders, bridge, "product_handle", "product_handle", "web shop", strict=strict)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import cost_total, money_total, month_of, percent, within
 from ..functions.dates import Day, as_date
-from ..operators.asof import asof_join
+from ..operators.asof import asof_join, interval_join
 from ..operators.currency import convert_currency
 from ..operators.gates import Gate, duplicate_keys, enforce, guarded, missing_rates, uncosted
 from ..operators.runs import consecutive_days
@@ -157,21 +157,19 @@ def several_costs(history: DataFrame) -> Gate:
     return Gate("Several costs for one product and effective date", duplicate_keys(history, keys), keys)
 
 
-def costed_pairs(model: Model, start: Day, end: Day, store: bool = True) -> DataFrame:
-    """Revenue, cost and rows without a cost per (store, product)."""
+def costed_pairs(
+    model: Model, start: Day, end: Day, store: bool = True, intervals: DataFrame | None = None
+) -> DataFrame:
+    """Revenue, cost and rows without a cost per (store, product), from stored ``intervals`` of costs where given."""
     sales = _physical(model["fact_sales"], start, end).select(
         "store_id", "product_id", F.to_date("sold_at").alias("sale_date"), "quantity", "amount_native"
     )
-    costed = asof_join(
-        sales,
-        model["fact_product_cost"],
-        ["product_id"],
-        "sale_date",
-        "effective_date",
-        ["cost_mxn"],
-        (start, end),
-        store=store,
-    )
+    keys, values, horizon = ["product_id"], ["cost_mxn"], (start, end)
+    if intervals is not None:
+        costed = interval_join(sales, intervals, keys, "sale_date", values, horizon)
+    else:
+        costs = model["fact_product_cost"]
+        costed = asof_join(sales, costs, keys, "sale_date", "effective_date", values, horizon, store=store)
     return costed.groupBy("store_id", "product_id").agg(
         money_total("amount_native").alias("revenue"),
         cost_total(F.col("quantity"), F.col("cost_mxn")).alias("cost"),
@@ -185,6 +183,7 @@ def negative_margin(
     end: Day = "2026-03-31",
     check: bool = True,
     ordered: bool = True,
+    intervals: DataFrame | None = None,
 ) -> DataFrame:
     """(Store, product) pairs whose physical sales cost more than they earned.
 
@@ -193,10 +192,13 @@ def negative_margin(
     the gates read them and the costs and raise ``GateError``; without it the call runs no job, the job
     that reads the result fails on a missing cost, and costs are taken to be unique. Either way the facts
     are read once.
+
+    ``intervals`` are the costs as stored with the model (``sources.read_intervals``), which reports share; the
+    history is then not read at all, and its keys were checked when it was stored.
     """
-    if check:
+    if check and intervals is None:
         enforce(several_costs(model["fact_product_cost"]))
-    pairs = costed_pairs(model, start, end, store=check)
+    pairs = costed_pairs(model, start, end, store=check, intervals=intervals)
     if check:
         pairs = settle(pairs, "margin-pairs")
         broken = uncosted(pairs.withColumn("_cost", F.when(F.col("n_uncosted") == 0, F.lit(1))), "_cost", "product_id")

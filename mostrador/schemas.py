@@ -64,3 +64,10 @@ MONTH_PARTITIONS = {
     "fact_sales": ("sold_at", "sale_month"),
     "fact_inventory": ("date", "stock_month"),
 }
+
+# Bucketed layout of the large facts: the pair that turnover groups and joins on.
+BUCKET_KEYS = ("store_id", "product_id")
+
+# Costs as half-open intervals cut at months, stored beside the model: see operators.asof.monthly_intervals.
+INTERVALS = "cost_intervals"
+INTERVAL_SCHEMA = "product_id STRING, _from DATE, _until DATE, cost_mxn DOUBLE, valid_month DATE"

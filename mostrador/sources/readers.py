@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from dataclasses import dataclass
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import text_is_missing
 from ..operators.gates import GateError, require_columns
-from ..schemas import ERP_SECTIONS, FX_RATES, MODEL, MONTH_PARTITIONS, POS_SALES
+from ..schemas import BUCKET_KEYS, ERP_SECTIONS, FX_RATES, INTERVALS, INTERVAL_SCHEMA, MODEL, MONTH_PARTITIONS, POS_SALES
 
 
 @dataclass(frozen=True)
@@ -150,6 +151,33 @@ def read_sources(
     }
 
 
+#: Folder beside the model that holds the number of buckets of each bucketed fact.
+LAYOUT = "_layout"
+
+
+def catalog_name(path: str) -> str:
+    """A name for a stored table in the session's catalog, the same for the same path."""
+    return "mostrador_" + hashlib.md5(path.encode()).hexdigest()
+
+
+def _buckets(spark: SparkSession, root: str, name: str) -> int | None:
+    path = f"{root}/{LAYOUT}/{name}"
+    return spark.read.schema("buckets INT").parquet(path).first().buckets if _exists(spark, path) else None
+
+
+def _bucketed(spark: SparkSession, path: str, schema: str, month: str, buckets: int) -> DataFrame:
+    """A bucketed fact, registered under its path's name: only a catalog entry tells Spark of buckets."""
+    name, keys = catalog_name(path), ", ".join(BUCKET_KEYS)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    where = path.replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE {name} ({schema}) USING parquet LOCATION '{where}' "
+        f"PARTITIONED BY ({month}) CLUSTERED BY ({keys}) INTO {buckets} BUCKETS"
+    )
+    spark.catalog.recoverPartitions(name)
+    return spark.table(name)
+
+
 def read_model(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The stored star schema, one lazy frame per table, with the month columns of the large facts.
 
@@ -161,6 +189,13 @@ def read_model(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         if name in MONTH_PARTITIONS:
             schema += f", {MONTH_PARTITIONS[name][1]} DATE"
         require_columns(spark.read.parquet(f"{root}/{name}"), _fields(schema), name)
+        if name in MONTH_PARTITIONS and (buckets := _buckets(spark, root, name)):
+            return _bucketed(spark, f"{root}/{name}", schema, MONTH_PARTITIONS[name][1], buckets)
         return spark.read.schema(schema).parquet(f"{root}/{name}")
 
     return {name: one(name) for name in MODEL}
+
+
+def read_intervals(spark: SparkSession, root: str) -> DataFrame:
+    """The stored costs of a model as intervals, for every report that needs costs by day."""
+    return spark.read.schema(INTERVAL_SCHEMA).parquet(f"{root}/{INTERVALS}")

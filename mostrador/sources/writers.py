@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime as dt
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import month_of
-from ..operators.gates import GateError
-from ..schemas import ERP_SECTIONS, MODEL_KEYS, MONTH_PARTITIONS
+from ..operators.asof import MONTH, monthly_intervals
+from ..operators.gates import GateError, RowRule, Watch
+from ..schemas import BUCKET_KEYS, ERP_SECTIONS, INTERVALS, INTERVAL_SCHEMA, MODEL, MODEL_KEYS, MONTH_PARTITIONS
+from ..session import delete
 from .documents import NO_LIST, split_document
-from .readers import SECTION_FOLDER, Erp, read_erp
+from .readers import LAYOUT, SECTION_FOLDER, Erp, catalog_name, read_erp
 
 # Row order inside the files, for tight min/max statistics.
 SORTED_BY = {
@@ -53,22 +56,71 @@ def land_document(spark: SparkSession, path: str, root: str) -> Erp:
     return read_erp(spark, root, "parquet")
 
 
-def write_model(model: Mapping[str, DataFrame], root: str) -> None:
-    """Overwrite every table of the model under ``root``.
+def write_model(
+    model: Mapping[str, DataFrame],
+    root: str,
+    rules: Mapping[str, Sequence[RowRule]] | None = None,
+    buckets: int | None = None,
+) -> None:
+    """Overwrite every table of the model under ``root``, and the intervals of its costs.
 
     The large facts are partitioned by month. REBALANCE lets the adaptive planner merge small
     months and split large ones, so no month is one task and no task writes a file per month.
+
+    ``rules`` by table are counted in the pass that writes it; a broken one raises ``GateError`` after that pass.
+
+    ``buckets`` also buckets the large facts by (store, product), so that turnover groups and joins them without a
+    shuffle. All rows of a pair and month then go through one task and file: choose it where a pair's rows are
+    bounded, as in a daily panel, and not where a pair, or the sales without a store of a product, may hold much of a fact.
     """
+    spark = next(iter(model.values())).sparkSession if model else None
     for name in MODEL_KEYS:
         if name not in model:
             continue
-        df = model[name]
+        watch = Watch(model[name], (rules or {}).get(name, ()))
+        df = watch.frame
         order = [c for c in SORTED_BY.get(name, ()) if c in df.columns]
         if name in MONTH_PARTITIONS:
             day, month = MONTH_PARTITIONS[name]
-            df = df.withColumn(month, month_of(day)).hint("rebalance", F.col(month))
-            df = df.sortWithinPartitions(month, *order)
-            df.write.mode("overwrite").partitionBy(month).parquet(f"{root}/{name}")
+            df = df.withColumn(month, month_of(day))
+            layout = f"{root}/{LAYOUT}/{name}"
+            delete(df.sparkSession, layout)  # a write that stops halfway leaves a table that is read without buckets
+            if buckets:
+                _write_buckets(df, f"{root}/{name}", month, buckets, order)
+                spark.createDataFrame([(buckets,)], "buckets INT").coalesce(1).write.parquet(layout)
+            else:
+                df = df.hint("rebalance", F.col(month)).sortWithinPartitions(month, *order)
+                df.write.mode("overwrite").partitionBy(month).parquet(f"{root}/{name}")
         else:
             df = df.sortWithinPartitions(*order) if order else df
             df.write.mode("overwrite").parquet(f"{root}/{name}")
+        watch.check()
+    if "fact_sales" in model and "fact_product_cost" in model:
+        write_intervals(spark, root)
+
+
+def _write_buckets(df: DataFrame, path: str, month: str, buckets: int, order: Sequence[str]) -> None:
+    """One task per bucket, so that a month has one file per bucket; the catalog entry is of no use after the write."""
+    spark, name = df.sparkSession, catalog_name(path) + "_write"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    delete(spark, path)  # a table is only created over an empty folder
+    writer = df.repartition(buckets, *BUCKET_KEYS).write.partitionBy(month).bucketBy(buckets, *BUCKET_KEYS)
+    writer.sortBy(*order).format("parquet").option("path", path).saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")
+
+
+def write_intervals(spark: SparkSession, root: str) -> None:
+    """Store the costs of a stored model as intervals, over the months that its sales have.
+
+    The months are partition values, so the facts are not read. A history has few rows per product and month.
+    """
+    sales = spark.read.schema(f"{MODEL['fact_sales']}, sale_month DATE").parquet(f"{root}/fact_sales")
+    sold = sales.agg(F.min("sale_month").alias("a"), F.max("sale_month").alias("b")).first()
+    if sold.a is None:
+        rows = spark.createDataFrame([], INTERVAL_SCHEMA)
+    else:
+        last = (sold.b.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
+        costs = spark.read.parquet(f"{root}/fact_product_cost")
+        rows = monthly_intervals(costs, ["product_id"], "effective_date", ["cost_mxn"], (sold.a, last))
+    rows = rows.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, "product_id", "_from")
+    rows.write.mode("overwrite").partitionBy(MONTH).parquet(f"{root}/{INTERVALS}")

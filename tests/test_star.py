@@ -1,5 +1,6 @@
 """Star schema builders, feeds and the batch run."""
 
+import datetime as dt
 import json
 import random
 from dataclasses import replace
@@ -9,15 +10,19 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import day, records, stamp
+from conftest import day, records, sale, stamp
 from mostrador.functions import lenient_integer, money_total, strict_integer
-from mostrador.operators import GateError
+from mostrador.operators import (
+    GateError, RowRule, Watch, asof_join, interval_join, monthly_intervals, stock_by_pair,
+)
 from mostrador.plans import (
     audit, build_model, channel_growth, inventory_turnover, negative_margin, run_batch, star, stockout_runs,
 )
+from mostrador.plans.metrics import costed_pairs
 from mostrador.schemas import ERP_SECTIONS, MAPPINGS, MODEL_KEYS, PRODUCTS, SNAPSHOTS, STORES
+from mostrador.session import intermediate
 from mostrador.sources import (
-    Erp, land_document, land_erp, read_erp, read_model, read_pos, read_sources, split_document, write_model,
+    Erp, land_document, land_erp, read_erp, read_intervals, read_model, read_pos, read_sources, split_document, write_model,
 )
 from mostrador.sources.documents import Splitter
 
@@ -476,3 +481,79 @@ def test_csv_quotes_and_headers(spark, tmp_path):
 def test_write_model_subset(spark, frame, tmp_path):
     write_model({"dim_store": frame("store_id STRING", ("T",))}, str(tmp_path))
     assert spark.read.parquet(str(tmp_path / "dim_store")).count() == 1
+
+
+# --- stored intervals, buckets, counters of the write ------------------------------------------
+
+
+def test_reports_share_stored_intervals(spark, stored):
+    model, costs = read_model(spark, stored), read_intervals(spark, stored)
+    with intermediate(spark) as written:
+        for window in (dict(start="2025-10-01", end="2025-10-31"), dict(start="2025-10-05", end="2025-11-30")):
+            shared = negative_margin(model, **window, intervals=costs)
+            assert shared.collect() == negative_margin(model, **window).collect()
+            assert "/history-" not in "".join(shared.inputFiles())
+        assert sum("/history-" in path for path in written) == 2  # of the two calls without the stored table
+    plan = costed_pairs(model, "2025-10-01", "2025-10-31", intervals=costs)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(valid_month" in plan
+
+
+def test_interval_join_is_the_asof_join(frame):
+    rng = random.Random(3)
+    start = dt.date(2025, 1, 20)
+    entries = {(rng.choice("abc"), start + dt.timedelta(days=rng.randrange(-90, 400))): rng.choice([None, 1, 2, 3]) for _ in range(60)}
+    history = frame("k STRING, e DATE, v INT", *[(k, e, v) for (k, e), v in entries.items()], ("a", None, 9), (None, start, 8))
+    facts = frame(
+        "id INT, k STRING, d DATE",
+        *[(i, rng.choice("abcd"), start + dt.timedelta(days=rng.randrange(420))) for i in range(400)], (-1, "a", None), (-2, None, start),
+    )
+    horizon = (start, start + dt.timedelta(days=419))
+    intervals = monthly_intervals(history, ["k"], "e", ["v"], horizon)
+    found = sorted(records(interval_join(facts, intervals, ["k"], "d", ["v"]), "id", "v"), key=str)
+    assert found == sorted(records(asof_join(facts, history, ["k"], "d", "e", ["v"], horizon), "id", "v"), key=str)
+    narrow = (start, dt.date(2025, 3, 2))  # months outside are not read; facts there find nothing
+    for i, d, v in records(interval_join(facts, intervals, ["k"], "d", ["v"], narrow), "id", "d", "v"):
+        assert (i, v) in found if d and d < dt.date(2025, 4, 1) else v is None
+    assert interval_join(facts.limit(0), intervals, ["k"], "d", ["v"]).count() == 0
+    assert records(interval_join(facts, intervals.limit(0), ["k"], "d", ["v"]).select("v").distinct(), "v") == [None]
+
+
+def test_bucketed_facts_meet_without_a_shuffle(spark, feeds, stored, tmp_path):
+    root = str(tmp_path / "it's a model")
+    for n in (3, 5):  # the second run replaces the tables and their number of buckets
+        bucketed = run_batch(spark, **feeds, root=root, buckets=n)
+    plain = read_model(spark, stored)
+    for name in plain:
+        assert sorted(map(str, bucketed[name].collect())) == sorted(map(str, plain[name].collect()))
+        assert bucketed[name].columns == plain[name].columns
+    assert inventory_turnover(bucketed).collect() == inventory_turnover(plain).collect()
+    pair = ["store_id", "product_id"]
+    sold = bucketed["fact_sales"].groupBy(*pair).agg(F.sum("quantity").alias("units"))
+    joined = stock_by_pair(bucketed["fact_inventory"], pair, "stock_quantity").join(sold.hint("merge"), pair, "left")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and "Bucketed: true" in plan
+    again = run_batch(spark, **feeds, root=root)  # and without buckets
+    assert sorted(map(str, again["fact_sales"].collect())) == sorted(map(str, plain["fact_sales"].collect()))
+
+
+def test_broken_rows_are_counted_by_the_write(spark, model, tmp_path):
+    rows = [sale(f"V{i}", "2025-10-01T10:00:00", None if i % 2 else "P1", "T1", 1, 1) for i in range(9)]
+    facts = model(fact_sales=rows, fact_product_cost=[("P1", "2025-01-01", 1.0, "s")])
+    rule = RowRule("Sales whose code has no product", F.col("product_id").isNull(), F.col("transaction_id"))
+    with pytest.raises(GateError, match=r"Sales whose code has no product \(4 rows: V1 to V7\)"):
+        write_model(facts, str(tmp_path / "a"), {"fact_sales": [rule]})
+    unknown = RowRule("No currency", F.col("currency") == F.lit(None), F.col("currency"))  # NULL is not broken
+    write_model(facts, str(tmp_path / "b"), {"fact_sales": [unknown]})
+    nameless = RowRule("All", F.lit(True), F.lit(None))
+    watch = Watch(facts["fact_sales"], [nameless])
+    watch.frame.write.parquet(str(tmp_path / "c"))
+    with pytest.raises(GateError, match=r"All \(9 rows: NULL\)"):
+        watch.check()
+    empty = Watch(facts["fact_sales"].limit(0), [nameless])
+    empty.frame.write.parquet(str(tmp_path / "d"))
+    empty.check()
+
+
+def test_intervals_of_a_model_without_sales(spark, model, tmp_path):
+    write_model(model(fact_product_cost=[("P1", "2025-01-01", 1.0, "s")]), str(tmp_path))
+    assert read_intervals(spark, str(tmp_path)).count() == 0
