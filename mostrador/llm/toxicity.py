@@ -382,16 +382,25 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     return _unpacked(_learn(docs, labels, id_column, text_column, label_column, folds, held))
 
 
+def training_sample(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic", folds: int = 3, held: int = 1) -> DataFrame:
+    """id, text and label of what a model learns from: of all usable labelled texts the ``SAMPLE`` first by a hash of the id.
+
+    Which texts are usable (not null, at most ``LONGEST`` bytes) is decided before the draw, so labels without such a text
+    take no place in it. Only ids are compared for that; texts are read of the chosen ids, which are broadcast. Of several
+    labels of an id the higher counts, of several texts the smaller.
+    """
+    learned = F.crc32(F.col("id").cast("string").cast("binary")) % folds != held
+    rows = narrow(docs, id=id_column, text=text_column).where(learned & (F.octet_length("text") <= LONGEST))
+    known = narrow(labels, id=id_column, label=label_column).where(learned & F.col("label").isin(0, 1))
+    usable = known.groupBy("id").agg(F.max("label").alias("label")).join(rows.select("id"), "id", "left_semi")
+    chosen = usable.orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
+    found = rows.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
+    return found.orderBy(F.xxhash64("id"), "id").limit(SAMPLE)  # one order, so that reruns learn the same
+
+
 def _learn(docs, labels, id_column="doc_id", text_column="text", label_column="toxic", folds=3, held=1) -> bytes:
     """The packed model: the driver passes it on without opening it."""
-    rows = narrow(docs, id=id_column, text=text_column).where("id IS NOT NULL AND text IS NOT NULL")
-    known = narrow(labels, id=id_column, label=label_column).where("id IS NOT NULL AND label IN (0, 1)")
-    known = known.where(F.crc32(F.col("id").cast("string").cast("binary")) % folds != held)
-    # a third more than are wanted, for those that are too long; of ids with several labels the higher counts
-    chosen = known.groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(SAMPLE * 4 // 3)
-    short = rows.where(F.octet_length("text") <= LONGEST)
-    found = short.join(chosen, "id").groupBy("id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
-    sample = found.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("text", "label")
+    sample = training_sample(docs, labels, id_column, text_column, label_column, folds, held).select("text", "label")
 
     def fit(batches):
         texts, labels = [], []

@@ -3,6 +3,7 @@
 import collections
 import random
 import time
+import zlib
 
 import numpy as np
 import pytest
@@ -635,6 +636,24 @@ def toxic_rows(n=400):
     return rows, labels
 
 
+def test_toxicity_draws_from_usable_texts(spark, documents, monkeypatch):
+    """Ten times more labels than documents, and mostly unusable texts, leave as large a sample as there can be."""
+    monkeypatch.setattr(toxicity, "SAMPLE", 40)
+    monkeypatch.setattr(toxicity, "LONGEST", 20)
+    rows = [(i, None if i % 7 == 0 else "x" * 21 if i % 3 == 0 else f"text {i}") for i in range(300)] + [(1, "again"), (None, "a")]
+    labels = [(i, i % 2) for i in range(0, 3000)] + [(1, 0), (2, 1), (4, None), (8, 5), (None, 1)]
+    frame = spark.createDataFrame([*labels, (10**6, 7)], "doc_id bigint, toxic int")
+    usable = {i: min(t for j, t in rows if j == i and t is not None) for i, t in rows if i is not None and t is not None and len(t) <= 20}
+    usable = {i: t for i, t in usable.items() if zlib.crc32(str(i).encode()) % 3 != 1}
+    hashes = {r.id: r.h for r in spark.range(300).selectExpr("id", "xxhash64(id) h").collect()}
+    chosen = sorted(usable, key=lambda i: (hashes[i], i))[:40]
+    found = {r.id: (r.text, r.label) for r in toxicity.training_sample(documents(rows), frame).collect()}
+    highest = {i: max(b for a, b in labels if a == i and b in (0, 1)) for i in chosen}
+    assert found == {i: (usable[i], highest[i]) for i in chosen} and len(found) == 40
+    assert toxicity.training_sample(documents(EMPTY), frame).count() == 0
+    assert toxicity.training_sample(documents(rows), frame.limit(0)).count() == 0
+
+
 def test_toxicity(spark, documents):
     rows, labels = toxic_rows()
     frame = spark.createDataFrame([*labels, (None, 1, 1, "x"), (5, 1, None, "x")], "doc_id bigint, quality int, toxic int, score string")
