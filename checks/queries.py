@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mostrador.functions import code_number, cost_total, lenient_integer, money_total, strict_integer, strict_number
 from mostrador.operators import (
-    asof_join, calendar, consecutive_days, convert_currency, dense, matched_rows, matched_turnover,
-    period_change, stock_by_pair, top_k,
+    asof_join, calendar, consecutive_days, convert_currency, dense, interval_join, matched_rows, matched_turnover,
+    monthly_intervals, period_change, stock_by_pair, top_k,
 )
 from mostrador.operators import gates, profile, resolve
 from mostrador.operators.panel import read_panel
@@ -17,6 +17,7 @@ from mostrador.operators.resolve import CodeSystem
 from mostrador.plans import channel_growth, inventory_turnover, negative_margin, star, stockout_runs
 from mostrador.plans.bridge import reconcile_orders
 from mostrador.plans.metrics import currency_gates, sales_cells, several_costs
+from mostrador.session import settle
 
 from . import roles
 from .roles import FIRST, LAST, Tables
@@ -196,6 +197,10 @@ def _asof(t: Tables, horizon: tuple[str, str] | None) -> DataFrame:
     costed = asof_join(
         sales, roles.costs(t), ["product_id"], "sale_date", "effective_date", ["cost_mxn"], horizon
     )
+    return _cost_totals(costed)
+
+
+def _cost_totals(costed: DataFrame) -> DataFrame:
     return costed.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("n_sales"),
         F.count("cost_mxn").alias("n_costed"),
@@ -208,6 +213,15 @@ def asof_cost(t):
     return _asof(t, (FIRST, LAST))
 
 
+@query
+def asof_cost_stored(t):
+    """The same from intervals that are stored by month."""
+    keys, values = ["product_id"], ["cost_mxn"]
+    intervals = settle(monthly_intervals(roles.costs(t), keys, "effective_date", values, (FIRST, LAST)), "intervals")
+    sales = roles.ordered_sales(t).withColumn("sale_date", F.to_date("sold_at"))
+    return _cost_totals(interval_join(sales, intervals, keys, "sale_date", values, (FIRST, LAST)))
+
+
 @query
 def asof_cost_open_horizon(t):
     return _asof(t, None)
