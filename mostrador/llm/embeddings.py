@@ -4,8 +4,12 @@ Vectors are cut in halves; a codebook for each half, fitted on a bounded sample,
 vector. From a vector the cells are visited in the order of their distance: the sums of the two halves' distances, of
 which a multi-sequence traversal always takes the smallest next. It ends at the number of cells that reaches the target
 recall both for made pairs right at the similarity bound, in random directions, and for the real pairs near the bound of some
-vectors of the sample, which are compared with all vectors. Vectors met in the visited cells are verified in double
-precision.
+vectors of the sample, which are compared with all vectors.
+
+A vector does not travel to the cells it visits: its number does, with a code of two bits for each component and the angle between
+vector and code. A member of the cell can be linked only if its angle to the code is at most the angle of the bound and that
+angle together, so that what the code rules out is no link. Vectors are fetched only for visitors left in a block of members,
+and these pairs are verified in double precision.
 
 Only vectors of one label are compared. Equal vectors are one entry. Cells are dealt in blocks of about ``BLOCK`` vectors, and blocks of
 visitors meet blocks of members as matrices, so that a cell may hold any number of vectors. A pair of blocks gives
@@ -28,14 +32,49 @@ from .common import narrow
 from .components import components
 
 SIMILARITY = 0.93
-#: Vectors that the codebooks and the number of visited cells are fitted on, at most.
-SAMPLE = 8192
+#: Vectors that the codebooks and the number of visited cells are fitted on, at most, and the bytes of these.
+SAMPLE, SAMPLE_BYTES = 8192, 1 << 26
 #: Vectors of the sample whose real pairs are found.
 QUERIES = 256
 #: Share of pairs at the similarity bound whose cells are visited from each side.
 RECALL = 0.99
 #: Vectors of a block; vectors for each cell of the grid; most codewords of a half.
-BLOCK, PER_CELL, CODEWORDS = 256, 512, 256
+BLOCK, PER_CELL, CODEWORDS = 256, 512, 1024
+#: Two bits for each component: its sign, and whether it is over ``STEP`` times the mean size; the levels that these stand for.
+STEP, LEVELS = 0.98, (0.453, 1.51)
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows at length one; rows whose squares leave the range of doubles are scaled first."""
+    with np.errstate(over="ignore", under="ignore"):
+        norm = np.linalg.norm(x, axis=1, keepdims=True)
+    odd = ~((norm > 1e-140) & (norm < 1e140))[:, 0]
+    if odd.any():
+        x = x.copy()
+        x[odd] /= np.abs(x[odd]).max(axis=1, keepdims=True)
+        norm = np.linalg.norm(x, axis=1, keepdims=True)
+    return x / norm
+
+
+def _coded(x: np.ndarray, dims: np.ndarray) -> list[bytes]:
+    """Two bits for each component of unit rows, of which row i has ``dims[i]``, and a byte with the angle to them, rounded up."""
+    own = np.arange(x.shape[1]) < dims[:, None]
+    sign, large = x < 0, np.abs(x) > STEP / np.sqrt(dims)[:, None]
+    code = np.where(own, np.where(large, LEVELS[1], LEVELS[0]) * np.where(sign, -1, 1), 0)
+    cosine = (x * code).sum(axis=1) / np.linalg.norm(code, axis=1)
+    angle = np.ceil(np.arccos(np.clip(cosine, 0, 1)) / (np.pi / 2) * 255)
+    bits = np.concatenate([np.packbits(sign, axis=1), np.packbits(large, axis=1), angle.astype(np.uint8)[:, None]], axis=1)
+    return [row.tobytes() for row in bits]
+
+
+def _decoded(codes: list[bytes], dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors of ``dim`` components that codes stand for, and the most that their vectors' angles to them may be."""
+    bits = np.frombuffer(b"".join(codes), np.uint8).reshape(len(codes), -1)
+    half = bits.shape[1] // 2
+    sign = np.unpackbits(bits[:, :half], axis=1, count=dim)
+    large = np.unpackbits(bits[:, half:-1], axis=1, count=dim)
+    code = np.where(large, LEVELS[1], LEVELS[0]) * (1.0 - 2.0 * sign)
+    return code / np.linalg.norm(code, axis=1, keepdims=True), bits[:, -1] * (np.pi / 2 / 255)
 
 
 def _halves(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -74,8 +113,12 @@ class MultiIndex:
             other -= (other * some).sum(1, keepdims=True) * some
             other /= np.maximum(np.linalg.norm(other, axis=1, keepdims=True), 1e-12)
             partner = similarity * some + math.sqrt(1 - similarity**2) * other
-            order = self.traverse(some, self.visits)
-            rank = (order == self.cells(partner)[:, None]).argmax(axis=1)
+            cells = self.cells(partner)
+            a, b = (_distances(h, w) for h, w in zip(_halves(some), self.books))
+            rank = []
+            for i, cell in enumerate(cells):
+                sums = (a[i][:, None] + b[i]).ravel()
+                rank.append(np.count_nonzero(sums < sums[cell]))
             self.visits = int(np.quantile(rank, RECALL)) + 1
 
     def ranks(self, queries: np.ndarray, vectors: np.ndarray, alike: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
@@ -101,7 +144,7 @@ class MultiIndex:
         out = np.zeros((len(vectors), self.width))
         for i, v in enumerate(vectors):
             out[i, : len(v)] = v
-        return out / np.linalg.norm(out, axis=1, keepdims=True)
+        return _unit(out)
 
     def cells(self, x: np.ndarray) -> np.ndarray:
         first, second = (_distances(h, b).argmin(axis=1) for h, b in zip(_halves(x), self.books))
@@ -151,16 +194,18 @@ def _real_ranks(entries: DataFrame, index: MultiIndex, queries: list, similarity
 def _indexed(entries: DataFrame, index: MultiIndex) -> DataFrame:
     held = entries.sparkSession.sparkContext.broadcast(index)
 
-    @F.pandas_udf("cell int, visits array<int>")
+    @F.pandas_udf("cell int, visits array<int>, code binary")
     def place(vectors: pd.Series) -> pd.DataFrame:
-        index, cells, visits = held.value, [], []
+        index, cells, visits, codes = held.value, [], [], []
         for start in range(0, len(vectors), 1024):
-            x = index.prepared(vectors[start : start + 1024].tolist())
+            part = vectors[start : start + 1024].tolist()
+            x = index.prepared(part)
+            codes += _coded(x, np.array([len(v) for v in part]))
             cells += index.cells(x).tolist()
             visits += list(index.traverse(x, index.visits).astype(np.int32))
-        return pd.DataFrame({"cell": cells, "visits": visits})
+        return pd.DataFrame({"cell": cells, "visits": visits, "code": codes})
 
-    return entries.withColumn("place", place("embedding")).select("*", "place.cell", "place.visits").drop("place")
+    return entries.withColumn("place", place("embedding")).select("*", "place.cell", "place.visits", "place.code").drop("place")
 
 
 def _forest(links: np.ndarray, nodes: np.ndarray) -> list[tuple[int, int]]:
@@ -182,16 +227,32 @@ def _forest(links: np.ndarray, nodes: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def _screened(batches, similarity: float):
+    """(block, entry): visitors that may be linked with a member of a block, by their codes."""
+    bound = math.acos(min(max(similarity, -1.0), 1.0)) + 1e-6
+    for batch in batches:
+        blocks, entries = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        columns = [batch.column(c) for c in ("block", "dim", "members", "vectors", "visitors", "codes")]
+        for block, dim, members, vectors, visitors, codes in zip(*columns):
+            dim = dim.as_py()
+            m_id, v_id = members.values.to_numpy(), visitors.values.to_numpy()
+            m = _unit(vectors.values.flatten().to_numpy().astype(np.float64).reshape(len(m_id), dim))
+            code, angle = _decoded(codes.as_py(), dim)
+            least = np.cos(np.minimum(bound + angle, np.pi))
+            near = ((code @ m.T >= least[:, None] - 1e-9) & (v_id[:, None] != m_id)).any(axis=1)
+            entries.append(v_id[near])
+            blocks.append(np.full(near.sum(), block.as_py(), np.int64))
+        yield pa.RecordBatch.from_pydict({"block": np.concatenate(blocks), "entry": np.concatenate(entries)})
+
+
 def _verified(batches, similarity: float):
     """For each pair of blocks: links to add to entries, and a forest of the links."""
     for batch in batches:
         out = {"a": [], "b": [], "links": []}
         for row in batch.to_pylist():
             members, visitors = row["members"], row["visitors"]
-            m = np.array([x["embedding"] for x in members], np.float64)
-            v = np.array([x["embedding"] for x in visitors], np.float64)
-            m /= np.linalg.norm(m, axis=1, keepdims=True)
-            v /= np.linalg.norm(v, axis=1, keepdims=True)
+            m = _unit(np.array([x["embedding"] for x in members], np.float64))
+            v = _unit(np.array([x["embedding"] for x in visitors], np.float64))
             m_id, v_id = np.array([x["entry"] for x in members]), np.array([x["entry"] for x in visitors])
             linked = (v @ m.T >= similarity) & (v_id[:, None] != m_id)
             if not linked.any():
@@ -216,13 +277,12 @@ def _verified(batches, similarity: float):
         yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(k, pa.int64()) for k in ("a", "b", "links")]))
 
 
-def _blocks(rows: DataFrame, cell: str, columns: list[str], name: str) -> DataFrame:
-    """Arrays of about ``BLOCK`` of the rows of each (label, dim, cell)."""
-    keys = ["label", "dim", cell]
+def _blocks(rows: DataFrame, keys: list[str], columns: list[str], name: str) -> DataFrame:
+    """Arrays of about ``BLOCK`` of the rows of each key."""
     counts = rows.groupBy(*keys).count().select(*keys, F.ceil(F.col("count") / BLOCK).alias("parts"))
     dealt = rows.join(counts, keys).withColumn("part", F.pmod(F.xxhash64("entry"), F.col("parts")))
     grouped = dealt.groupBy(*keys, "part").agg(F.collect_list(F.struct(*columns)).alias(name))
-    return grouped.select("label", "dim", F.col(cell).alias("cell"), name)
+    return grouped.select(*keys, name)
 
 
 def link_entries(entries: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -233,25 +293,29 @@ def link_entries(entries: DataFrame, similarity: float = SIMILARITY) -> DataFram
     total, width = entries.agg(F.count(F.lit(1)), F.max("dim")).first()
     if not total:
         return entries.sparkSession.createDataFrame([], "a bigint, b bigint, links bigint")
-    chosen = entries.orderBy(F.xxhash64("embedding"), "entry").limit(SAMPLE).select("label", "dim", "embedding").collect()
+    most = max(1, min(SAMPLE, SAMPLE_BYTES // (8 * width)))
+    chosen = entries.orderBy(F.xxhash64("embedding"), "entry").limit(most).select("label", "dim", "embedding").collect()
     sample = [r.embedding for r in chosen]
     x = np.zeros((len(sample), max(2, width)))
     for i, v in enumerate(sample):
         x[i, : len(v)] = v
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    index = MultiIndex(x, total, similarity)
+    index = MultiIndex(_unit(x), total, similarity)
     index.fit_visits(*_real_ranks(entries, index, chosen[:QUERIES], similarity))
     placed = settle(_indexed(entries, index), "cells")
-    members = _blocks(placed, "cell", ["entry", "n", "embedding", "visits"], "members")
-    visiting = placed.select("label", "dim", "entry", "n", "embedding", F.col("cell").alias("home"), F.explode("visits").alias("cell"))
-    visitors = _blocks(
-        visiting.withColumnRenamed("cell", "visited"), "visited", ["entry", "n", "embedding", "home"], "visitors"
-    )
-    visitors = visitors.withColumn(
-        "visitors", F.transform("visitors", lambda v: F.struct(v["entry"].alias("entry"), v["n"].alias("n"), v["embedding"].alias("embedding"), v["home"].alias("cell")))
+    where = ["label", "dim", "cell"]
+    members = _blocks(placed, where, ["entry", "n", "embedding", "visits"], "members")
+    members = settle(members.withColumn("block", F.monotonically_increasing_id()), "members")
+    visiting = placed.select("label", "dim", "entry", "code", F.explode("visits").alias("cell"))
+    visitors = settle(_blocks(visiting, where, ["entry", "code"], "visitors"), "visitors")
+    met = members.select("block", *where, F.col("members.entry").alias("members"), F.col("members.embedding").alias("vectors")).join(
+        visitors.select(*where, F.col("visitors.entry").alias("visitors"), F.col("visitors.code").alias("codes")), where
     )
-    met = members.join(visitors, ["label", "dim", "cell"]).select("members", "visitors")
-    return settle(met.mapInArrow(lambda batches: _verified(batches, similarity), "a bigint, b bigint, links bigint"), "links")
+    met = met.select("block", "dim", "members", "vectors", "visitors", "codes")
+    left = settle(met.mapInArrow(lambda batches: _screened(batches, similarity), "block bigint, entry bigint"), "visits")
+    fetched = left.join(placed.select("entry", "n", "embedding", "cell"), "entry")
+    pairs = members.select("block", "members").join(_blocks(fetched, ["block"], ["entry", "n", "embedding", "cell"], "visitors"), "block")
+    pairs = pairs.select("members", "visitors")
+    return settle(pairs.mapInArrow(lambda batches: _verified(batches, similarity), "a bigint, b bigint, links bigint"), "links")
 
 
 def near_duplicates(

@@ -270,6 +270,36 @@ def test_no_embeddings(spark):
     assert [tuple(r) for r in lone] == [(4, 0, 4, True)]
 
 
+@pytest.mark.parametrize("kind", ["normal", "sparse", "one", "few"])
+def test_codes_rule_out_no_link(kind):
+    """Angles between vectors are at most the angles to the codes and the angles that codes carry together."""
+    rng = np.random.default_rng(4)
+    dims = np.full(400, 64) if kind != "few" else rng.integers(1, 20, 400)
+    x = rng.normal(size=(400, 64)) * (np.arange(64) < dims[:, None])
+    if kind == "sparse":
+        x[rng.random(x.shape) < 0.9] = 0
+        x[:, 0] = 1
+    if kind == "one":
+        x = np.eye(64)[rng.integers(0, 64, 400)] * rng.choice([-1, 1], (400, 1))
+    x = embeddings._unit(x)
+    codes = embeddings._coded(x, dims)
+    assert {len(c) for c in codes} == {17}
+    for i, dim in enumerate(dims):
+        code, most = embeddings._decoded([codes[i]], dim)
+        angle = np.arccos(np.clip(code[0] @ x[i, :dim], -1, 1))
+        assert angle <= most[0] + 1e-6
+        if kind == "normal":
+            assert most[0] < 0.6
+
+
+def test_embeddings_of_any_size(spark):
+    """Squares of components may leave the range of doubles."""
+    x = [[1e200, 1e200], [1.0, 1.0], [1e-200, 1e-200], [1e-310, 1e-310], [1e200, -1e200], [1.7e308, 1.6e308]]
+    frame = spark.createDataFrame([(i, v, 0) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>, label int")
+    found = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(frame).collect()}
+    assert found == {0: (4, 0), 1: (4, 0), 2: (4, 0), 3: (4, 0), 4: (0, 4), 5: (4, 0)}
+
+
 def test_traversal_visits_nearest_first():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(300, 10))
