@@ -278,9 +278,10 @@ def _verified(batches, similarity: float):
 
 
 def _blocks(rows: DataFrame, keys: list[str], columns: list[str], name: str) -> DataFrame:
-    """Arrays of about ``BLOCK`` of the rows of each key."""
-    counts = rows.groupBy(*keys).count().select(*keys, F.ceil(F.col("count") / BLOCK).alias("parts"))
-    dealt = rows.join(counts, keys).withColumn("part", F.pmod(F.xxhash64("entry"), F.col("parts")))
+    """Arrays of about ``BLOCK`` of the rows of each key, whose blocks are dealt to tasks one by one."""
+    # a written table of counts is broadcast if it is small, so that rows are shuffled once, and not by the key alone
+    counts = settle(rows.groupBy(*keys).count().select(*keys, F.ceil(F.col("count") / BLOCK).alias("parts")), "counts")
+    dealt = rows.join(counts, keys).withColumn("part", F.pmod(F.xxhash64("entry"), F.col("parts"))).repartition(*keys, "part")
     grouped = dealt.groupBy(*keys, "part").agg(F.collect_list(F.struct(*columns)).alias(name))
     return grouped.select(*keys, name)
 
