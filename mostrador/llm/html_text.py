@@ -7,7 +7,8 @@ tell stay open, leaning by their stop words. In the second pass open blocks take
 neighbours; between neighbours that differ they follow the lean, or the part of the page they stand in.
 
 What a part says is a claim: one that holds most of the page's prose is not believed, and a main part inside of one that is
-believed counts for itself. Only hidden parts are never read.
+believed counts for itself. In a main part, a name that is about something else by its last word (``related-work``) is a weak claim,
+not believed of a part that is prose for the most part. Only hidden parts are never read.
 """
 
 from __future__ import annotations
@@ -66,7 +67,7 @@ SCOPES = frozenset("article aside blockquote body div footer form header html ma
 
 # Words in class, id and role that say what a part is.
 _BAD_NAME = re.compile(
-    r"(?:^|[\s_-])(?:nav(?:bar|igation)?|menu|breadcrumbs?|header|masthead|top-?bar|footer|foot|sidebar|side|aside|widgets?|"
+    r"(?:^|[\s_-])(nav(?:bar|igation)?|menu|breadcrumbs?|header|masthead|top-?bar|footer|foot|sidebar|side|aside|widgets?|"
     r"ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?s?|banner|cookies?|consent|gdpr|notices?|alert|"
     r"popup|modal|overlay|newsletter|subscribe|subscription|sign-?up|login|share|sharing|social|related|recommend(?:ed|ations)?|"
     r"comments?|commentlist|respond|replies|reply|disqus|discussion|reviews?|toolbar|pagination|pager|tags|legal|copyright|"
@@ -84,6 +85,14 @@ _FOREIGN_NAME = re.compile(
     r"replies|reply|disqus|discussion|reviews?)(?:$|[\s_-])",
     re.I,
 )
+# Last words of names that leave what a part is to the words before: "related-posts" and "share-box", not "related-work".
+_BOXES = frozenset(
+    """area article articles aside bar block body bottom box btn button buttons card cards cell col column container content
+    contents copy cta description entries entry feed footer form grid group header heading holder inner item items label left link
+    links list listing main message messages middle module news outer page pages panel panels paragraph post posts primary region
+    right row rows secondary section sections slot stories story stream strip summary tab tabs tag teaser teasers text thread tile
+    tiles title toggle top unit view widget widgets wrap wrapper zone""".split()
+)
 # Class words that tell the state of a page or part, not what it is.
 _STATE = re.compile(
     r"(?<!\S)(?:(?:has|have|no|not|with|without)[_-]\S+|"
@@ -114,40 +123,51 @@ class Block:
         self.text, self.links, self.place, self.heading = text, links, place, heading
 
 
-def _said(tag: str, attributes: str, inside_main: bool) -> tuple[int, int]:
-    """What an element by itself says about its content, GOOD, BAD or nothing (OPEN), and why it is bad."""
+def _weak(names: str) -> bool:
+    """Whether every word that says a part is bad only tells more about another word, the last of its name."""
+    for name in names.split():
+        bad = [m.end(1) for m in _BAD_NAME.finditer(name)]
+        last = re.split("[_-]", name.lower())[-1]
+        if bad and (max(bad) == len(name) or _BAD_NAME.search(last) or last in _BOXES or not last.isalpha() or len(last) < 3):
+            return False
+    return True
+
+
+def _said(tag: str, attributes: str, inside_main: bool) -> tuple[int, int, bool]:
+    """What an element by itself says about its content, GOOD, BAD or nothing (OPEN), why it is bad, and if that is weak."""
     named, names = False, ""
     if "=" in attributes or "hidden" in attributes.lower():
         if _HIDDEN_ATTRIBUTE.search(attributes):
-            return BAD, HIDDEN
+            return BAD, HIDDEN, False
         values = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)}
         if _HIDDEN.search(values.get("style", "")) or values.get("aria-hidden", "").lower() == "true":
-            return BAD, HIDDEN
+            return BAD, HIDDEN, False
         if tag not in ("html", "body") and tag not in GOOD_TAGS:
             names = " ".join(_STATE.sub(" ", _CAMEL.sub("-", values.get(k, ""))) for k in ("class", "id", "role"))
             named = bool(names.strip())
         elif tag in GOOD_TAGS and re.search(r"(?:^|[\s_-])comments?(?:$|[\s_-])", values.get("class", ""), re.I):
-            return BAD, FOREIGN
+            return BAD, FOREIGN, False
     if tag in BAD_TAGS or tag == "header":
         if tag == "header" and inside_main:
-            return OPEN, 0
-        return BAD, FOREIGN if tag == "aside" or named and _FOREIGN_NAME.search(names) else PART
+            return OPEN, 0, False
+        return BAD, FOREIGN if tag == "aside" or named and _FOREIGN_NAME.search(names) else PART, False
     if named:
         good, bad = _GOOD_NAME.search(names), _BAD_NAME.search(names)
         if bad and not (good and good.end() > bad.end()):
-            return BAD, FOREIGN if _FOREIGN_NAME.search(names) else PART
+            foreign = bool(_FOREIGN_NAME.search(names))
+            return BAD, FOREIGN if foreign else PART, inside_main and not foreign and _weak(names)
         if good:
-            return GOOD, 0
-    return (GOOD if tag in GOOD_TAGS else OPEN), 0
+            return GOOD, 0, False
+    return (GOOD if tag in GOOD_TAGS else OPEN), 0, False
 
 
 class Claim:
     """An element that says it is bad, and the blocks (first, and the one after the last) inside of it."""
 
-    __slots__ = ("number", "why", "first", "last")
+    __slots__ = ("number", "why", "weak", "first", "last")
 
-    def __init__(self, number: int, why: int, first: int):
-        self.number, self.why, self.first, self.last = number, why, first, None
+    def __init__(self, number: int, why: int, weak: bool, first: int):
+        self.number, self.why, self.weak, self.first, self.last = number, why, weak, first, None
 
 
 def blocks(page: str, refused: frozenset = frozenset(), names: bool = False) -> tuple[list[Block], list[Claim]]:
@@ -237,9 +257,9 @@ def blocks(page: str, refused: frozenset = frozenset(), names: bool = False) ->
         _, outer, main, why, _ = stack[-1]
         place, reason, claim = outer, why, None
         if why != HIDDEN:
-            said, cause = _said(tag, attributes, main)
+            said, cause, weak = _said(tag, attributes, main)
             if said == BAD and cause != HIDDEN:
-                claim = Claim(len(claims), cause, len(out))
+                claim = Claim(len(claims), cause, weak, len(out))
                 claims.append(claim)
                 if claim.number in refused:
                     said = OPEN
@@ -275,13 +295,16 @@ def believed(page: str) -> list[Block]:
     if not claims:
         return found
     sizes = [len(b.text) if _prose(b) else 0 for b in found]
-    upto = [0]
-    for size in sizes:
+    upto, whole = [0], [0]
+    for block, size in zip(found, sizes):
         upto.append(upto[-1] + size)
+        whole.append(whole[-1] + len(block.text))
+    prose = lambda c: 2 * (upto[c.last] - upto[c.first]) > whole[c.last] - whole[c.first]
+    weak = frozenset(c.number for c in claims if c.weak and prose(c))
     # each of them lies in the one before
-    heavy = [c for c in claims if 2 * (upto[c.last] - upto[c.first]) > upto[-1]]
+    heavy = [c for c in claims if c.number not in weak and 2 * (upto[c.last] - upto[c.first]) > upto[-1]]
     if heavy:
-        found, _ = blocks(page, frozenset(c.number for c in heavy))
+        found, _ = blocks(page, weak.union(c.number for c in heavy))
         # prose of a main part outside is where the text is; for what others write, so is any main part or prose outside
         kept = len(heavy)
         for k, claim in enumerate(heavy):
@@ -290,11 +313,13 @@ def believed(page: str) -> list[Block]:
             if any(b.place == GOOD and (size or foreign) or foreign and size and b.place != BAD for b, size in outside):
                 kept = k
                 break
-        refused = frozenset(c.number for c in heavy[:kept])
+        refused = weak.union(c.number for c in heavy[:kept])
         if kept < len(heavy):
             found, _ = blocks(page, refused)
     else:
-        refused = frozenset()
+        refused = weak
+        if weak:
+            found, _ = blocks(page, refused)
     if upto[-1] and not any(size and b.place != BAD for b, size in zip(found, sizes)):
         found, _ = blocks(page, refused, True)
     return found

@@ -378,6 +378,26 @@ def test_html_of_an_article_stays():
     assert html_text.main_text(f"<article><p>{LONG} {note}.</p></article>") == f"{LONG} y."
 
 
+@pytest.mark.parametrize("name", ["related-work", "alert-history", "header_sketch", "searchMethods", "privacy-theory", "widget-economics"])
+def test_html_prose_in_named_parts_of_an_article(name):
+    """A name that is about something else by its last word does not make prose bad, in an article only."""
+    links = "<ul><li><a href=1>One more page of the site</a><li><a href=2>And another one of them</a></ul>"
+    part = f"<div class='{name}'><p>{LONG}</p><p>Short.</p></div>"
+    assert html_text.main_text(f"<article><p>{LONG}</p>{part}<p>{LONG}</p></article>") == f"{LONG}\n{LONG}\nShort.\n{LONG}"
+    outside = f"<article>{f'<p>{LONG}</p>' * 4}</article>{part}"
+    assert html_text.main_text(outside) == "\n".join([LONG] * 4)
+    assert html_text.main_text(f"<article>{f'<p>{LONG}</p>' * 3}<div class='{name}'>{links}</div></article>") == "\n".join([LONG] * 3)
+
+
+@pytest.mark.parametrize(
+    "name", ["related", "related-posts", "social-share", "share-box", "promo-copy", "newsletter-signup", "cookie-policy", "comments-archive",
+             "relatedArticles", "article-sidebar", "related-work promo", "widget-2"]
+)
+def test_html_named_parts_of_an_article_that_go(name):
+    page = f"<article>{f'<p>{LONG}</p>' * 4}<div class='{name}'><p>{LONG}</p></div></article>"
+    assert html_text.main_text(page) == "\n".join([LONG] * 4)
+
+
 @pytest.mark.parametrize("page", ["<div>{n}</b>", "<b><div>{n}</b>", "<div><i>{n}<p>", "<b><div><i>{n}</b>", "<div><i>{n}<div></div>", "<li><i>{n}</li>"])
 def test_html_time_grows_with_the_page(page):
     first, second = page.split("{n}")
