@@ -253,8 +253,8 @@ def large_totals(t):
         "l_linenumber", signed(1e8).alias("amount"), signed(1e5).alias("unit"), F.col("l_quantity").cast("bigint").alias("quantity")
     )
     return lines.groupBy("l_linenumber").agg(
-        money_total("amount").cast("string").alias("total"),
-        cost_total(F.col("quantity"), F.col("unit")).cast("string").alias("cost"),
+        money_total("amount", written=True).alias("total"),
+        cost_total(F.col("quantity"), F.col("unit"), written=True).alias("cost"),
     )
 
 

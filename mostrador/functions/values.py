@@ -122,8 +122,9 @@ def _joined(limbs: tuple[Column, Column], bits: int) -> Column:
     return (high * F.lit(1 << bits).cast("decimal(10,0)") + low).cast("decimal(32,0)")
 
 
-def _exact_total(millionths: Column, whole: Column, rest: Column) -> Column:
-    """Exact total of amounts in pieces: NULL without amounts, a failed job where ``MONEY_TOTAL`` cannot hold it.
+def _exact_total(millionths: Column, whole: Column, rest: Column, written: bool) -> Column:
+    """Exact total of amounts in pieces, NULL without amounts: ``MONEY_TOTAL``, which fails the job where it cannot hold
+    the total, or ``written`` as the same text, whatever its size.
 
     Every piece is added as BIGINT sums of its high and low bits, which run in generated code, several times faster than
     decimals; decimals appear once per group, when the sums are put together.
@@ -133,19 +134,37 @@ def _exact_total(millionths: Column, whole: Column, rest: Column) -> Column:
     # 10^12 units of the rest are a millionth
     carried = F.floor(below * F.lit("0.000000000001").cast("decimal(12,12)")).cast("decimal(26,0)")
     left = (below - carried * F.lit(10**12).cast("decimal(13,0)")).cast("decimal(13,0)")
-    fraction = ((in_millionths + carried).cast("decimal(32,0)") * F.lit("0.000001").cast("decimal(6,6)")).cast(MONEY_TOTAL)
-    fraction = fraction + (left * F.lit("1e-18").cast("decimal(18,18)")).cast(MONEY_TOTAL)
-    total = (fraction.cast(MONEY_TOTAL) + _joined(large, LOW_BITS).cast(MONEY_TOTAL)).cast(MONEY_TOTAL)
+    in_millionths = (in_millionths + carried).cast("decimal(32,0)")
+    if written:
+        total = _text_of(_joined(large, LOW_BITS), in_millionths, left)
+    else:
+        fraction = (in_millionths * F.lit("0.000001").cast("decimal(6,6)")).cast(MONEY_TOTAL)
+        fraction = fraction + (left * F.lit("1e-18").cast("decimal(18,18)")).cast(MONEY_TOTAL)
+        total = (fraction.cast(MONEY_TOTAL) + _joined(large, LOW_BITS).cast(MONEY_TOTAL)).cast(MONEY_TOTAL)
     return F.when(small[0].isNotNull() | large[0].isNotNull(), total)
 
 
-def money_total(amount: Column | str) -> Column:
-    """Exact total of an amount column."""
-    return _exact_total(*_split(F.col(amount) if isinstance(amount, str) else amount))
+def _text_of(large: Column, millionths: Column, left: Column) -> Column:
+    """Whole units, millionths and a rest in units of 1e-18, from 0 on and below a millionth, as one number with 18 decimals."""
+    million, one = F.lit(10**6).cast("decimal(7,0)"), F.lit(10**18).cast("decimal(19,0)")
+    units = F.floor(millionths * F.lit("0.000001").cast("decimal(6,6)")).cast("decimal(32,0)")
+    rest = ((millionths - units * million).cast("decimal(6,0)") * F.lit(10**12).cast("decimal(13,0)") + left).cast("decimal(19,0)")
+    whole = (units + large).cast("decimal(33,0)")
+    below_zero = whole < 0
+    turned = below_zero & (rest > 0)  # -0.3 is here -1 and 0.7
+    rest = F.when(turned, one - rest).otherwise(rest).cast("bigint")
+    units = F.abs(whole) - F.when(turned, F.lit(1)).otherwise(F.lit(0))
+    sign = F.when(below_zero, F.lit("-")).otherwise(F.lit(""))
+    return F.concat(sign, units.cast("string"), F.lit("."), F.lpad(rest.cast("string"), 18, "0"))
 
 
-def cost_total(quantity: Column, unit_cost: Column) -> Column:
-    """Exact total of quantity (BIGINT) times unit cost, with all decimals of the unit cost."""
+def money_total(amount: Column | str, written: bool = False) -> Column:
+    """Exact total of an amount column; ``written``: as text with 18 decimals, for totals that ``MONEY_TOTAL`` cannot hold."""
+    return _exact_total(*_split(F.col(amount) if isinstance(amount, str) else amount), written)
+
+
+def cost_total(quantity: Column, unit_cost: Column, written: bool = False) -> Column:
+    """Exact total of quantity (BIGINT) times unit cost, with all decimals of the unit cost; ``written`` as in ``money_total``."""
     millionths, whole, rest = _split(unit_cost)
     product = F.try_multiply(quantity, millionths)
     # where the millionths do not fit: whole units and rests of the same product
@@ -155,7 +174,7 @@ def cost_total(quantity: Column, unit_cost: Column) -> Column:
     fine = quantity.cast("decimal(19,0)") * parts.cast("decimal(18,0)")
     carried = F.floor(fine * F.lit("1e-18").cast("decimal(18,18)"))
     left = (fine - carried * F.lit(10**18).cast("decimal(19,0)")).cast("bigint")
-    return _exact_total(product, quantity * units + carried.cast("bigint"), left)
+    return _exact_total(product, quantity * units + carried.cast("bigint"), left, written)
 
 
 def exact_product(amount: Column, factor: Column) -> Column:

@@ -198,6 +198,23 @@ def test_totals_that_do_not_fit_fail(frame):
             frame("v DOUBLE", *[(v,) for v in values]).agg(money_total("v").alias("t")).collect()
 
 
+def test_written_totals_hold_any_size(frame):
+    rng = random.Random(9)
+    groups = {f"g{k}": [written(rng) for _ in range(rng.choice((1, 2, 40)))] for k in range(40)}
+    groups |= {
+        "much": [9e17] * 50, "less": [-9e17] * 50 + [0.3], "between": [-0.3], "unit": [-1.0], "zero": [1e13, -1e13], "null": [None],
+        "near": [-1e17] * 30 + [1e-18], "cents": [4294967295.999999] * 9,
+    }
+    rows = [(k, v) for k, values in groups.items() for v in values]
+    total, cost = money_total("v", written=True), cost_total(F.lit(3).cast("bigint"), F.col("v"), written=True)
+    df = frame("k STRING, v DOUBLE", *rows).repartition(3).groupBy("k").agg(total.alias("t"), cost.alias("c"))
+    digits = lambda v: Decimal(int(v)) if abs(v) >= 2**53 else Decimal(repr(v))
+    with localcontext(Context(prec=80)):
+        sums = {k: exact_sum(digits(v) for v in values if v is not None) for k, values in groups.items() if k != "null"}
+        expected = {(k, f"{v:.18f}", f"{3 * v:.18f}") for k, v in sums.items()}
+    assert set(records(df, "k", "t", "c")) == expected | {("null", None, None)}
+
+
 def test_cost_totals_of_any_size(frame):
     rng = random.Random(2)
     rows = [(f"g{k % 7}", rng.choice((1, -1)) * rng.randrange(10**9), written(rng, -18, 6)) for k in range(700)]
