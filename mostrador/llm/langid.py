@@ -4,7 +4,7 @@ One interpolated Kneser-Ney model of order ``ORDER`` per language, learned from
 is a sequence of lower-case letters in which each run of other characters is one boundary. Executors count the n-grams,
 Spark adds the counts; the models are sorted arrays of 64-bit hashes of n-grams and contexts with their logarithms beside
 them, looked up by binary search. A text belongs to the language with the lowest cross-entropy per character; the scale
-of the confidence and the bounds of the rejection are calibrated on learnable texts.
+of the confidence and the bounds of the rejection are calibrated on all learnable texts.
 
 Up to ``TYPES`` counted n-grams the models go to every executor. More stay in tables, dealt by n-gram: the same
 logarithms are found there by joins, for each distinct n-gram of the texts once, and added up for each text. The order and the
@@ -31,8 +31,11 @@ TYPES = 3_000_000
 FREQUENT = 4096
 #: Code points that are handled at once.
 PIECE, SHARD = 1 << 20, 4 << 20
-#: Texts, about, that the confidence and the rejection are calibrated on.
-CALIBRATION = 4000
+#: Scales that the confidence is calibrated among, and parts of one for a text, in which its likelihood is added exactly.
+SCALES = [float(x) for x in np.geomspace(0.5, 500, 40)]
+PARTS = 1e6
+#: Intervals that values are counted in, again and again within one of them, until a rank is found.
+BINS = 1024
 #: Share of a language's own texts that the rejection may refuse.
 REFUSED = 0.005
 DOUBT = 0.01
@@ -251,6 +254,39 @@ class KneserNey:
         return out
 
 
+def quantiles(rows: DataFrame, share: float) -> dict[int, tuple[int, float]]:
+    """For each k of ``rows`` (k int, x double): the number of its values and their exact ``share`` quantile, interpolated.
+
+    Values are counted in ``BINS`` intervals, then within the one that holds the rank, until it holds one value; so no
+    task and no collected table grows with the rows.
+    """
+    ends = rows.groupBy("k").agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()
+    sizes = {r.k: r.n for r in ends}
+    ranks = {k: int((n - 1) * share) for k, n in sizes.items()}
+    inside = {r.k: (r.n, r.lo, r.hi) for r in ends}  # the interval that holds the rank, which counts from its beginning
+    after = {r.k: r.hi for r in ends}  # the value that follows the interval
+    while wanted := [(k, lo, hi) for k, (_, lo, hi) in inside.items() if lo < hi]:
+        edges = F.broadcast(rows.sparkSession.createDataFrame(wanted, "k int, lo double, hi double"))
+        within = rows.join(edges, "k").where("x >= lo AND x <= hi")
+        place = F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS), F.lit(BINS - 1))
+        counts = within.groupBy("k", place.alias("place")).agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+        bins: dict[int, list] = {}
+        for r in sorted(counts.collect(), key=lambda r: (r.k, r.place)):
+            bins.setdefault(r.k, []).append(r)
+        for k, found in bins.items():
+            at = 0
+            while ranks[k] >= found[at].n:
+                ranks[k] -= found[at].n
+                at += 1
+            inside[k] = (found[at].n, found[at].lo, found[at].hi)
+            after[k] = found[at + 1].lo if at + 1 < len(found) else after[k]
+    out = {}
+    for k, (n, low, _) in inside.items():
+        following = low if ranks[k] + 1 < n else after[k]
+        out[k] = sizes[k], low + (following - low) * ((sizes[k] - 1) * share % 1)
+    return out
+
+
 class Decision:
     """What the cross-entropies of a text say: calibration, language, rejection."""
 
@@ -259,24 +295,35 @@ class Decision:
         self.scale = 20.0
         self.bounds = np.full(len(languages), np.inf)
 
-    def calibrate(self, languages: list[str], entropies: np.ndarray) -> None:
-        """The scale with the highest likelihood of the labels, of which ``DOUBT`` are taken as wrong; bounds that refuse
-        ``REFUSED`` of a language's texts."""
-        if not len(languages):
+    def calibrate(self, scored: DataFrame) -> None:
+        """From all rows of ``scored`` (lang, entropies): the scale with the highest likelihood of the labels, of which
+        ``DOUBT`` are taken as wrong; bounds that refuse ``REFUSED`` of a language's texts."""
+        number, plain = {lang: i for i, lang in enumerate(self.languages)}, Decision(self.languages)  # without the models
+
+        def likelihoods(batches):
+            for batch in batches:
+                if len(batch):
+                    label = batch["lang"].map(number).to_numpy()
+                    entropies = np.stack(batch["entropies"].to_list())
+                    sums = [np.rint(PARTS * plain._likelihood(label, entropies, scale)).astype(np.int64).sum() for scale in SCALES]
+                    yield pd.DataFrame({"scale": SCALES, "value": sums})
+
+        rows = scored.where("lang IS NOT NULL AND entropies IS NOT NULL").select(F.col("lang").cast("string").alias("lang"), "entropies")
+        sums = rows.mapInPandas(likelihoods, "scale double, value bigint").groupBy("scale").agg(F.sum("value").alias("value")).collect()
+        if not sums:
             return
-        label = np.array([self.languages.index(x) for x in languages])
-        best = (-np.inf, self.scale)
-        for scale in np.geomspace(0.5, 500, 40):
-            logs = np.log(np.maximum(self.confidence(entropies, scale), 1e-12))
-            own = logs[np.arange(len(label)), label]
-            others = (logs.sum(axis=1) - own) / max(1, len(self.languages) - 1)
-            value = ((1 - DOUBT) * own + DOUBT * others).mean()
-            best = max(best, (value, scale))
-        self.scale = best[1]
-        for k in range(len(self.languages)):
-            own = entropies[label == k, k]
-            if len(own) >= 20:
-                self.bounds[k] = np.quantile(own, 1 - REFUSED)
+        self.scale = max((r.value, r.scale) for r in sums)[1]
+        place = F.array_position(F.array(*map(F.lit, self.languages)), F.col("lang")).cast("int") - 1
+        own = rows.select(place.alias("k"), F.get("entropies", place).alias("x"))
+        for k, (n, value) in quantiles(own, 1 - REFUSED).items():
+            if n >= 20:
+                self.bounds[k] = value
+
+    def _likelihood(self, label: np.ndarray, entropies: np.ndarray, scale: float) -> np.ndarray:
+        logs = np.log(np.maximum(self.confidence(entropies, scale), 1e-12))
+        own = logs[np.arange(len(label)), label]
+        others = (logs.sum(axis=1) - own) / max(1, len(self.languages) - 1)
+        return (1 - DOUBT) * own + DOUBT * others
 
     def confidence(self, entropies: np.ndarray, scale: float | None = None) -> np.ndarray:
         x = -(scale or self.scale) * entropies
@@ -325,8 +372,16 @@ class LanguageModels(Decision):
                 _split(owners, parts, self.order, work)
         return -sums / np.maximum(sizes, 1)[:, None], sizes
 
-    def predict(self, texts: list) -> pd.DataFrame:
-        return self.judged(*self.entropies(texts))
+    def scored(self, rows: DataFrame) -> DataFrame:
+        """``rows`` without their text, with its entropies; a text without a letter has none."""
+        held = rows.sparkSession.sparkContext.broadcast(self)
+
+        @F.pandas_udf("array<double>")
+        def entropies(texts: pd.Series) -> pd.Series:
+            found, sizes = held.value.entropies(list(texts))
+            return pd.Series([x if n else None for x, n in zip(found, sizes)], dtype=object)
+
+        return rows.withColumn("entropies", entropies("text")).drop("text")
 
 
 _LISTED = "map<int,float>"
@@ -426,22 +481,12 @@ class StoredModels(Decision):
         # a text that is repeated has all its sums that many times
         return valued.groupBy("key").agg(F.transform(F.array(*sums), lambda x: -x / F.sum("n")).alias("entropies"))
 
-    def predicted(self, rows: DataFrame) -> DataFrame:
-        """``rows`` (with text) with a column p: struct of lang, score, accepted and entropy."""
-        decision = Decision(self.languages)
-        decision.scale, decision.bounds = self.scale, self.bounds
-
-        @F.pandas_udf("lang string, score double, accepted boolean, entropy double")
-        def judge(entropies: pd.Series) -> pd.DataFrame:
-            known = entropies.notna().to_numpy()
-            table = np.zeros((len(entropies), len(decision.languages)))
-            if known.any():
-                table[known] = np.stack(entropies[known].to_list())
-            return decision.judged(table, known.astype(np.int64))
-
+    def scored(self, rows: DataFrame) -> DataFrame:
+        """``rows`` without their text, with its entropies; a text without a letter has none."""
         keyed = rows.withColumn("key", _key("text"))
         scores = settle(self.entropies(keyed.select("key", "text")), "entropies")
-        return keyed.drop("text").join(scores, "key", "left").withColumn("p", judge("entropies"))
+        return keyed.drop("text").join(scores, "key", "left").drop("key")
+
 
 def _collected(counts: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]:
     frame = counts.toPandas()
@@ -455,41 +500,34 @@ def _collected(counts: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]:
     return out
 
 
-def learn(rows: DataFrame, order: int = ORDER) -> LanguageModels | StoredModels:
-    """Models from ``rows`` (id, lang, text): every row with language and text counts. No rows give no languages."""
-    rows = rows.where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = settle(count_ngrams(rows, order), "ngrams")
-    stored = counts.count() > TYPES
-    models = StoredModels(counts, order) if stored else LanguageModels(_collected(counts))
-    if models.languages:
-        share = max(1, rows.count() // CALIBRATION)
-        some = rows.where(F.pmod(F.xxhash64("id"), F.lit(share)) == 0)
-        if stored:
-            some = settle(some.select("lang", "text", _key("text").alias("key")).limit(4 * CALIBRATION), "calibration")
-            some = some.join(models.entropies(some), "key").select("lang", F.col("entropies").alias("e"))
-        else:
-            held = rows.sparkSession.sparkContext.broadcast(models)
+def fitted(rows: DataFrame, order: int = ORDER) -> LanguageModels | StoredModels:
+    """Models from ``rows`` (lang, text), not calibrated yet: every row with language and text counts."""
+    counts = settle(count_ngrams(rows.where("lang IS NOT NULL AND text IS NOT NULL"), order), "ngrams")
+    return StoredModels(counts, order) if counts.count() > TYPES else LanguageModels(_collected(counts))
 
-            @F.pandas_udf("array<double>")
-            def entropies(texts: pd.Series) -> pd.Series:
-                found, sizes = held.value.entropies(list(texts))
-                return pd.Series([list(x) if n else None for x, n in zip(found, sizes)])
 
-            some = some.select("lang", entropies("text").alias("e")).limit(4 * CALIBRATION)
-        sample = [r for r in some.collect() if r.e is not None]
-        models.calibrate([str(r.lang) for r in sample], np.array([r.e for r in sample]).reshape(len(sample), -1))
+def learn(rows: DataFrame, order: int = ORDER) -> LanguageModels | StoredModels:
+    """Models from ``rows`` (lang, text), calibrated on all of them. No rows give no languages."""
+    models = fitted(rows, order)
+    if models.languages:
+        models.calibrate(settle(models.scored(rows.select("lang", "text")), "calibration"))
     return models
 
 
-def predicted(spark, models: LanguageModels, text: Column | str) -> Column:
-    """Struct of lang, score, accepted and entropy (of the best language, per character)."""
-    held = spark.sparkContext.broadcast(models)
+def predicted(models: LanguageModels | StoredModels, scored: DataFrame) -> DataFrame:
+    """``scored`` with a column p: struct of lang, score, accepted and entropy (of the best language, per character)."""
+    decision = Decision(models.languages)
+    decision.scale, decision.bounds = models.scale, models.bounds
 
     @F.pandas_udf("lang string, score double, accepted boolean, entropy double")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        return held.value.predict(list(texts))
+    def judge(entropies: pd.Series) -> pd.DataFrame:
+        known = entropies.notna().to_numpy()
+        table = np.zeros((len(entropies), len(decision.languages)))
+        if known.any():
+            table[known] = np.stack(entropies[known].to_list())
+        return decision.judged(table, known.astype(np.int64))
 
-    return predict(text)
+    return scored.withColumn("p", judge("entropies"))
 
 
 def identify(
@@ -500,15 +538,17 @@ def identify(
     Learned from texts with a language whose crc32(id as text) modulo ``folds`` is not ``held``; ids that are null are
     not learned from. A null text or one without a letter, and any text if nothing can be learned, is ``und`` with score 0
     and not accepted; ``accepted`` is the calibrated rejection. No rows give no rows; other columns are ignored.
+
+    Each text is scored once; the scores of all that may be learned from calibrate the decision.
     """
     rows = narrow(docs, id=id_column, text=text_column, lang=lang_column)
     rows = rows.withColumn("held_out", F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % folds == held, F.lit(False)))
-    models = learn(rows.where("id IS NOT NULL AND NOT held_out").select("id", "lang", "text"))
-    if isinstance(models, StoredModels):
-        out = models.predicted(rows)
-    else:
-        out = rows.select("id", "held_out", predicted(docs.sparkSession, models, "text").alias("p"))
-    return out.select(
+    learnable = "id IS NOT NULL AND NOT held_out"
+    models = fitted(rows.where(learnable).select("lang", "text"))
+    scored = settle(models.scored(rows), "scored")
+    if models.languages:
+        models.calibrate(scored.where(learnable))
+    return predicted(models, scored).select(
         F.col("id").alias(id_column), "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"),
         F.col("p.accepted").alias("accepted"),
     )

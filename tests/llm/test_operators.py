@@ -474,6 +474,28 @@ def test_languages_of_many_ngrams(spark, documents, monkeypatch):
     assert (np.array([found[g] for g in grams], np.float32) == expected).all()
 
 
+def test_languages_are_calibrated_on_all_texts(spark):
+    """More texts than were once taken as a sample: bounds and scale are those of all of them."""
+    rng = random.Random(4)
+    many = [(k, "".join(rng.choice("abcdef"[i : i + 4]) for _ in range(rng.randint(5, 30)))) for i, k in enumerate("xyz") for _ in range(3200)]
+    rows = spark.createDataFrame([(i, *r) for i, r in enumerate([*many, ("x", "12"), (None, "abc")])], "id bigint, lang string, text string")
+    model = langid.learn(rows)
+    entropies, _ = model.entropies([text for _, text in many])
+    label = np.array(["xyz".index(k) for k, _ in many])
+    assert model.bounds == pytest.approx([np.quantile(entropies[label == k, k], 1 - langid.REFUSED) for k in range(3)], rel=1e-12)
+    value = {scale: model._likelihood(label, entropies, scale).mean() for scale in langid.SCALES}
+    assert value[model.scale] == pytest.approx(max(value.values()), abs=2e-6)
+
+
+def test_quantiles(spark):
+    rng = random.Random(6)
+    values = {0: [1.5], 1: [2.0, 2.0, 2.0, 9.0], 2: [rng.random() ** 9 for _ in range(3000)], 3: [rng.choice([0.0, 1.0, np.nextafter(1.0, 2)]) for _ in range(999)]}
+    rows = spark.createDataFrame([(k, float(x)) for k, v in values.items() for x in v], "k int, x double")
+    for share in (0.0, 0.4, 0.75, 0.995, 1.0):
+        found = langid.quantiles(rows, share)
+        assert found == {k: (len(v), pytest.approx(np.quantile(v, share), rel=1e-15)) for k, v in values.items()}
+
+
 def test_kneser_ney_is_a_distribution():
     rng = np.random.default_rng(1)
     codes = rng.choice([0, 97, 98, 99], size=(400, 3), p=[0.2, 0.5, 0.2, 0.1])
