@@ -15,11 +15,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from mostrador.operators.series import calendar
 from mostrador.plans import run_batch
-from mostrador.session import shared_folder
+from mostrador.session import settle, shared_folder
 
 FIRST, LAST = "1995-01-01", "2001-12-31"  # all orders and shipments of the sample lie in here
 
@@ -293,6 +293,25 @@ def _erp_lines(t: Tables) -> DataFrame:
     return whole
 
 
+#: Bytes, about, of a part of the ERP document, which one task writes.
+PART = 64 << 20
+
+
+def _write_document(lines: DataFrame, path: str) -> None:
+    """The lines (place, line) as one JSON document in their order, in parts that follow each other by their names."""
+    lines = settle(lines.withColumn("id", F.monotonically_increasing_id()), "document")
+    size = lines.agg(F.sum(F.octet_length("line"))).first()[0]
+    firsts = [
+        row.id
+        for (place,) in lines.where("place % 2 = 1").select("place").distinct().collect()
+        for row in lines.where(F.col("place") == place).orderBy("line", "id").limit(1).collect()
+    ]
+    comma = F.when((F.col("place") % 2 == 1) & ~F.col("id").isin(firsts), F.lit(", ")).otherwise(F.lit(""))
+    order = ["place", "line", "id"]
+    parts = lines.repartitionByRange(size // PART + 1, *order).sortWithinPartitions(*order)
+    parts.select(F.concat(comma, "line").alias("line")).write.text(path)
+
+
 def batch_model(t: Tables) -> dict[str, DataFrame]:
     """The stored star schema of a batch run over files made of the tables."""
     root = f"{shared_folder(t._spark).rstrip('/')}/mostrador/feeds-{uuid.uuid4().hex}"
@@ -318,9 +337,5 @@ def batch_model(t: Tables) -> dict[str, DataFrame]:
     ).write.parquet(f"{root}/orders")
     rates = fx_rates(t).select(F.col("rate_date").cast("string").alias("fecha"), "currency", "rate_to_mxn")
     rates.write.option("header", True).csv(f"{root}/rates")
-    # a single document is a single file
-    lines = _erp_lines(t).repartition(1).sortWithinPartitions("place", "line")
-    first = F.row_number().over(Window.partitionBy("place").orderBy("line")) == 1
-    comma = F.when((F.col("place") % 2 == 1) & ~first, F.lit(", ")).otherwise(F.lit(""))
-    lines.select(F.concat(comma, "line").alias("line")).coalesce(1).write.text(f"{root}/inventory")
+    _write_document(_erp_lines(t), f"{root}/inventory")
     return run_batch(t._spark, f"{root}/sales", f"{root}/orders", f"{root}/inventory", f"{root}/rates", f"{root}/model")

@@ -12,7 +12,7 @@ from ..operators.asof import MONTH, monthly_intervals
 from ..operators.gates import GateError, RowRule, Watch
 from ..schemas import BUCKET_KEYS, ERP_SECTIONS, INTERVALS, INTERVAL_SCHEMA, MODEL, MODEL_KEYS, MONTH_PARTITIONS
 from ..session import delete
-from .documents import NO_LIST, split_document
+from .documents import NO_LIST, same_chunks, split_document
 from .readers import LAYOUT, SECTION_FOLDER, Erp, catalog_name, read_erp
 
 # Row order inside the files, for tight min/max statistics.
@@ -35,14 +35,16 @@ def land_erp(erp: Erp, root: str) -> None:
 
 
 def land_document(spark: SparkSession, path: str, root: str) -> Erp:
-    """Land a single ERP document: one read cuts all sections into JSON Lines, which are then stored as Parquet.
+    """Land a single ERP document: all sections are cut into JSON Lines, which are then stored as Parquet.
 
-    The document is never held whole, by a task or the driver; the parsing of its records is spread over tasks. An absent
+    ``path`` is a file, or a folder of the parts of one document (see :func:`documents.split_document`). The document is
+    never held or read whole, by a task or the driver: its chunks and the parsing of its records are spread over tasks. An absent
     section or field raises ``GateError``, a malformed document or record fails the job.
     """
     lines = f"{root}/_lines"
-    found = split_document(spark, path, {name: where for name, (where, _) in ERP_SECTIONS.items()})
-    found.write.mode("overwrite").partitionBy(SECTION_FOLDER).option("maxRecordsPerFile", LINES_PER_FILE).text(lines)
+    with same_chunks(spark):
+        found = split_document(spark, path, {name: where for name, (where, _) in ERP_SECTIONS.items()})
+        found.write.mode("overwrite").partitionBy(SECTION_FOLDER).option("maxRecordsPerFile", LINES_PER_FILE).text(lines)
     landed = spark.read.text(lines)
     no_list: dict[str, bool] = {}
     if SECTION_FOLDER in landed.columns:  # else there is no section at all

@@ -10,6 +10,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from checks import roles
 from conftest import day, records, sale, stamp
 from mostrador.functions import lenient_integer, money_total, strict_integer
 from mostrador.operators import (
@@ -281,6 +282,47 @@ def test_documents_are_split(spark, tmp_path, seed):
     assert found == expected
 
 
+def test_documents_are_split_by_many_tasks(spark, tmp_path):
+    """A document in one file, in parts and two documents in a folder; no task reads more than a chunk."""
+    rows = [{"k": i, "t": ['part {7', 'a "b" \\', "]"][i % 3], "more": [{"x": [i]}] * (i % 4)} for i in range(3000)]
+    rows[1700]["t"] = '{ \\\\" ' * 3000  # longer than a chunk
+    lines = [json.dumps({"noise": [{"snapshots": [{"k": -1}]}]})[:-1] + ', "snapshots": [', *[json.dumps(r) + "," for r in rows[:-1]], json.dumps(rows[-1]), "]}"]
+    (tmp_path / "one.json").write_text("\n".join(lines))
+    (tmp_path / "parts").mkdir()
+    (tmp_path / "two").mkdir()
+    for i in range(0, len(lines), 100):
+        (tmp_path / "parts" / f"part-{i:05d}").write_text("\n".join(lines[i : i + 100]) + "\n")
+    for name in "ab":
+        (tmp_path / "two" / name).write_text("\n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        for name, times in (("one.json", 1), ("parts", 1), ("two", 2)):
+            found = split_document(spark, str(tmp_path / name), {"s": "snapshots"})
+            values = [r.value for r in found.collect()]
+            assert values.count("") == times
+            records = sorted((json.loads(v) for v in values if v), key=lambda r: r["k"])
+            assert records == [r for r in rows for _ in range(times)]
+            assert found.rdd.getNumPartitions() > 20
+        (tmp_path / "parts" / f"part-{100:05d}").unlink()
+        assert len(split_document(spark, str(tmp_path / "parts"), {"s": "snapshots"}).collect()) == 2901
+        (tmp_path / "parts" / f"part-{3000:05d}").unlink()
+        with pytest.raises(ValueError, match="it ends too early"):
+            split_document(spark, str(tmp_path / "parts"), {"s": "snapshots"})
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_documents_are_written_in_parts(spark, frame, tmp_path, monkeypatch):
+    """Equal lines stay, and the parts together are one valid document."""
+    monkeypatch.setattr(roles, "PART", 100)
+    rows = ['{"a": %d}' % (i // 2) for i in range(60)]
+    roles._write_document(frame("place INT, line STRING", (0, '{"x": ['), *[(1, r) for r in rows], (2, '], "y": ['), (4, "]}")), str(tmp_path / "d"))
+    files = sorted((tmp_path / "d").glob("part-*"))
+    found = json.loads("".join(f.read_text() for f in files))
+    assert len(files) > 3 and found["y"] == [] and sorted(r["a"] for r in found["x"]) == [i // 2 for i in range(60)]
+
+
 def test_split_documents_hold_one_record():
     record = '{"k": [{"x": 1}, "{"]}'
     splitter, most, n = Splitter({"a": "a"}), 0, 0
